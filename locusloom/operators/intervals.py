@@ -10,11 +10,13 @@ tile.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 TILE = 1 << 17
 
@@ -62,41 +64,47 @@ class IntervalMap:
         return out
 
 
-def _tile_kernel(entity: Sequence[str], types: pa.Schema):
-    """Periods and gaps of one (entity, tile). ``open``: the period may continue in, or bound a gap to, another tile."""
-
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        both, by_side = IntervalMap(), {}
-        for side, s, e in zip(*(rows.column(c).to_pylist() for c in ("__side", "__start", "__end"))):
-            both.add(s, e)
-            by_side.setdefault(side, IntervalMap()).add(s, e)
-        out = []
-        covered = both.items()
-        last = len(covered) - 1
-        out += [("covered", s, e, i in (0, last)) for i, (s, e) in enumerate(covered)]
-        out += [("gap", s, e, False) for s, e in both.gaps()]
-        if len(by_side) == 2:
-            one, two = by_side.values()
-            shared = one.shared(two)
-            last = len(shared) - 1
-            out += [("shared", s, e, i in (0, last)) for i, (s, e) in enumerate(shared)]
-        kind, start, end, is_open = zip(*out)
-        values = [v.as_py() for v in key]
-        columns = [pa.array([v] * len(out), types.field(n).type) for n, v in zip([*entity, "__tile"], values)]
-        return pa.Table.from_arrays(
-            [*columns, pa.array(kind), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(is_open)],
-            names=[*entity, "__tile", "kind", "__start", "__end", "__open"],
-        )
+def _periods(maps: dict) -> list[tuple[str, int, int, bool]]:
+    """Kind, start, end and ``open`` of one tile. Open: the period may continue in, or bound a gap to, another tile."""
+    both = IntervalMap(x for m in maps.values() for x in m.items()) if len(maps) > 1 else next(iter(maps.values()))
+    out = [("gap", s, e, False) for s, e in both.gaps()]
+    families = [("covered", both.items())]
+    if len(maps) == 2:
+        one, two = maps.values()
+        families.append(("shared", one.shared(two)))
+    for kind, periods in families:
+        last = len(periods) - 1
+        out += [(kind, s, e, i in (0, last)) for i, (s, e) in enumerate(periods)]
+    return out
+
+
+def _tile_kernel(keys: Sequence[str], out_schema: pa.Schema):
+    """Over rows sorted by ``keys``: the state of one key at a time, a map of intervals for each of its sides."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, maps, out = None, {}, []
+
+        def flush() -> pa.RecordBatch:
+            columns = [list(c) for c in zip(*out)] or [[] for _ in out_schema]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out_schema)], schema=out_schema)
+
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in [*keys, "__side", "__start", "__end"]]
+            for *key, side, start, end in zip(*columns):
+                if key != current:
+                    out += [(*current, *p) for p in _periods(maps)] if maps else []
+                    current, maps = key, {}
+                if (own := maps.get(side)) is None:
+                    own = maps[side] = IntervalMap()
+                own.add(start, end)
+            yield flush()
+        out += [(*current, *p) for p in _periods(maps)] if maps else []
+        yield flush()
 
     return run
 
 
-def _to_arrow(spark_type):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(spark_type)
-
-
 def clean_intervals(df: DataFrame, entity: dict[str, Column], start: Column, end: Column, side: Column) -> DataFrame:
     """Entity, side and ordered ends; rows with a null among them are left out, exchanged ends are put right."""
     picked = df.select(*(c.alias(n) for n, c in entity.items()), side.alias("__side"), start.cast("long").alias("__s"), end.cast("long").alias("__e"))
@@ -125,10 +133,11 @@ def interval_periods(
         F.least("__end", (F.col("__tile") + 1) * tile - 1).alias("__end"),
     )
     longest = cut.groupBy(*names, "__tile", "__side", "__start").agg(F.max("__end").alias("__end"))
-    arrow = pa.schema([(n, _to_arrow(longest.schema[n].dataType)) for n in [*names, "__tile"]])
-    schema = ", ".join(f"`{n}` {longest.schema[n].dataType.simpleString()}" for n in [*names, "__tile"])
-    parts = longest.groupBy(*names, "__tile").applyInArrow(
-        _tile_kernel(names, arrow), f"{schema}, kind string, __start long, __end long, __open boolean"
+    keys = [*names, "__tile"]
+    types = {n: longest.schema[n].dataType for n in keys} | {"kind": T.StringType(), "__start": T.LongType(), "__end": T.LongType(), "__open": T.BooleanType()}
+    arrow = pa.schema([(n, to_arrow_type(t)) for n, t in types.items()])
+    parts = longest.repartition(*keys).sortWithinPartitions(*keys, "__start").mapInArrow(
+        _tile_kernel(keys, arrow), T.StructType([T.StructField(n, t) for n, t in types.items()])
     )
     return stitch_tiles(parts, names)
 
@@ -144,8 +153,14 @@ def stitch_tiles(parts: DataFrame, names: list[str]) -> DataFrame:
         .withColumn("__new", F.coalesce(F.col("__start") > F.col("__before") + 1, F.lit(True)))
         .withColumn("__island", F.sum(F.col("__new").cast("long")).over(line))
     )
-    joined = edges.groupBy(*names, "kind", "__island").agg(F.min("__start").alias("period_start"), F.max("__end").alias("period_end")).drop("__island")
-    between = edges.where((F.col("kind") == "covered") & F.col("__new") & (F.col("__tile_before") < F.col("__tile"))).select(
-        *names, F.lit("gap").alias("kind"), (F.col("__before") + 1).alias("period_start"), (F.col("__start") - 1).alias("period_end")
+    gap_before = (F.col("kind") == "covered") & F.col("__new") & (F.col("__tile_before") < F.col("__tile"))
+    period = F.struct("kind", F.col("__island"), F.col("__start").alias("s"), F.col("__end").alias("e"))
+    gap = F.struct(F.lit("gap").alias("kind"), F.col("__island"), (F.col("__before") + 1).alias("s"), (F.col("__start") - 1).alias("e"))
+    stitched = (
+        edges.select(*names, F.explode(F.when(gap_before, F.array(period, gap)).otherwise(F.array(period))).alias("x"))
+        .select(*names, "x.*")
+        .groupBy(*names, "kind", "__island")
+        .agg(F.min("s").alias("period_start"), F.max("e").alias("period_end"))
+        .drop("__island")
     )
-    return closed.unionByName(joined).unionByName(between)
+    return closed.unionByName(stitched)
