@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusloom.llm.components import connected_components
 from locusloom.llm.frequent import frequent_values
 from locusloom.llm.topn import top_n_per_group
+from locusloom.llm.truncation import truncated_texts
 from locusloom.session import table
 
 FREQUENT_SHARE = 0.005
@@ -60,7 +61,28 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.select(F.col("vertex").alias("cluster_id"), F.col("component").alias("group_id"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p3_found": p3_found}
+def _ends(spark: SparkSession, d: str) -> DataFrame:
+    return truncated_texts(table(spark, d, "documents"), "doc_id", "text", "source", "tgt_text", "align_score")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose text was cut off."""
+    return _ends(spark, d).where("is_cut").select("doc_id")
+
+
+def p8_sources(spark: SparkSession, d: str) -> DataFrame:
+    """For each source: texts, cut texts, their share and what showed the cut."""
+    counts = {f"by_{e}": F.count_if(F.col("evidence") == e) for e in ("copy", "left_open", "limit", "closing_word", "translation", "unclosed")}
+    return _ends(spark, d).groupBy("source").agg(
+        F.count(F.lit(1)).alias("texts"), F.count_if("is_cut").alias("cut"), F.avg(F.col("is_cut").cast("double")).alias("share"),
+        *(c.alias(n) for n, c in counts.items()),
+    )
+
+
+QUERIES = {
+    "p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p3_found": p3_found,
+    "p8_found": p8_found, "p8_sources": p8_sources,
+}
 
 _MOLECULES = """
 m AS (SELECT nullif(replace(upper(regexp_replace(tag_seq, '^\\s+|\\s+$', '', 'g')), 'U', 'T'), '') AS tag_seq, abun FROM phas_to_detect),
