@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder, and read again.
+
+    Like a checkpoint it cuts the lineage and outlives lost executors; unlike one it brings its true size, by which
+    the next join chooses its strategy.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/locusloom/{uuid.uuid4().hex}-{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A session for tests and the bench on one machine."""
     return (
