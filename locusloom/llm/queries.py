@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from locusloom.llm.components import connected_components
 from locusloom.llm.frequent import frequent_values
+from locusloom.llm.packing import pack
+from locusloom.llm.tokenizer import encode_texts, spread, token_count
 from locusloom.llm.topn import top_n_per_group
 from locusloom.llm.truncation import truncated_texts
 from locusloom.session import table
 
 FREQUENT_SHARE = 0.005
+CONTAINER = 2048
 WINDOWS_PER_CLUSTER, FEATURES_PER_LIBRARY = 3, 10
 
 
@@ -61,6 +64,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.select(F.col("vertex").alias("cluster_id"), F.col("component").alias("group_id"))
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of each document."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return encode_texts(docs, ["doc_id"], "text").select("doc_id", "ids")
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """All texts in containers of 2,048 tokens."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return pack(docs.select("doc_id", token_count(F.col("text")).alias("size")), "doc_id", "size", CONTAINER)
+
+
 def _ends(spark: SparkSession, d: str) -> DataFrame:
     return truncated_texts(table(spark, d, "documents"), "doc_id", "text", "source", "tgt_text", "align_score")
 
@@ -81,7 +96,7 @@ def p8_sources(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p3_found": p3_found,
-    "p8_found": p8_found, "p8_sources": p8_sources,
+    "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources,
 }
 
 _MOLECULES = """
