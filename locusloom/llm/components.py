@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusloom.session import ensure_checkpoint_dir
+from locusloom.session import saved
 
 
 def _undirected(a: Column, b: Column, edges: DataFrame) -> DataFrame:
@@ -23,11 +23,10 @@ def connected_components(edges: DataFrame, a: Column, b: Column, seed: int = 17,
     and repeats of pairs do not matter. Empty input gives no rows.
 
     Hooks are a map-side combined minimum, so a vertex with a third of all edges costs one row per task there; its
-    side of the relabelling join is split by adaptive execution. Edges and hooks of each round are checkpointed in the
-    shared folder: lineage stays short, and a lost executor costs no earlier round.
+    side of the relabelling join is split by adaptive execution. Edges and hooks of each round are written to the
+    shared checkpoint folder: lineage stays short, sizes are known, and a lost executor costs no earlier round.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    here = _undirected(a, b, edges.where(a.isNotNull() & b.isNotNull())).checkpoint()
+    here = saved(_undirected(a, b, edges.where(a.isNotNull() & b.isNotNull())), "edges")
     hooks: list[DataFrame] = []
     for step in range(max_rounds):
         if here.isEmpty():
@@ -35,11 +34,11 @@ def connected_components(edges: DataFrame, a: Column, b: Column, seed: int = 17,
         rank = lambda c, s=seed + step: F.struct(F.xxhash64(F.lit(s), c).alias("h"), c.alias("to"))
         ends = here.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")), F.struct(F.col("b").alias("v"), F.col("a").alias("w")))).alias("e"))
         first = ends.select("e.v", rank(F.col("e.w")).alias("r")).groupBy("v").agg(F.min("r").alias("r"))
-        hook = first.select("v", F.least("r", rank(F.col("v")))["to"].alias("to")).checkpoint()
+        hook = saved(first.select("v", F.least("r", rank(F.col("v")))["to"].alias("to")), "hooks")
         hooks.append(hook)
         left = hook.select(F.col("v").alias("a"), F.col("to").alias("ra"))
         right = hook.select(F.col("v").alias("b"), F.col("to").alias("rb"))
-        here = _undirected(F.col("ra"), F.col("rb"), here.join(left, "a").join(right, "b")).checkpoint()
+        here = saved(_undirected(F.col("ra"), F.col("rb"), here.join(left, "a").join(right, "b")), "edges")
     else:
         raise RuntimeError(f"edges are left after {max_rounds} rounds")
     if not hooks:
