@@ -9,6 +9,7 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _UNIT = NormalDist()
 
@@ -33,7 +34,7 @@ def hypergeometric_tail(phase: int, window: int = 15):
     """Column function (drawn, marked drawn) -> upper tail, rounded to 10 places; null where more are drawn than exist."""
     size, marked = window * phase * 2, window * 2 * 3
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def tail(drawn: pd.Series, hits: pd.Series) -> pd.Series:
         tails = _hypergeometric_tails(size, marked)
         ok = drawn.notna() & hits.notna() & (drawn <= size) & (drawn >= 0)
@@ -72,7 +73,7 @@ def rank_sum_tail(u: float, n: int, m: int, ties: float) -> float:
     return normal_tail((u - n * m / 2 - 0.5) / math.sqrt(var))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def rank_sum_p(u: pd.Series, n: pd.Series, m: pd.Series, ties: pd.Series) -> pd.Series:
     """Column form of :func:`rank_sum_tail`, rounded to 10 places."""
     return pd.Series([round(rank_sum_tail(float(a), int(b), int(c), float(t)), 10) for a, b, c, t in zip(u, n, m, ties)], dtype=float)
@@ -87,7 +88,7 @@ def combined_z(a: float, b: float) -> float | None:
     return None if total != total else round(normal_tail(total), 15)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def stouffer(a: pd.Series, b: pd.Series) -> pd.Series:
     """Column form of :func:`combined_z`; null inputs give null."""
     values = [None if pd.isna(x) or pd.isna(y) else combined_z(float(x), float(y)) for x, y in zip(a, b)]
@@ -128,7 +129,7 @@ def log_gamma_tail(k: float, x: float) -> float:
     return front + math.log(h)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fisher_log10(sum_of_logs: pd.Series, count: pd.Series) -> pd.Series:
     """log10 of Fisher's combined p-value from the sum of natural logarithms and the number of p-values."""
     return pd.Series([log_gamma_tail(int(k), -float(s)) / math.log(10) if k else 0.0 for s, k in zip(sum_of_logs.fillna(0.0), count.fillna(0))], dtype=float)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from locusloom.plans import problems, reads
+from locusloom.plans import problems, reads, windows
 
-_MODULES = (reads, problems)
+_MODULES = (reads, windows, problems)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
