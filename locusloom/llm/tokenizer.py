@@ -239,7 +239,7 @@ def token_count(text: Column, path: str | None = None) -> Column:
     """Number of tokens of each text; null for a null text."""
     path = path or vocabulary()
 
-    @F.pandas_udf("int")
+    @F.pandas_udf(T.IntegerType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
         bpe = load(path)
