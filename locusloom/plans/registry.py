@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from locusloom.plans import features, loci, problems, reads, windows
+from locusloom.plans import features, howell, loci, problems, reads, windows
 
-_MODULES = (reads, windows, loci, features, problems)
+_MODULES = (reads, windows, loci, features, howell, problems)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
