@@ -33,9 +33,9 @@ def s2_fasta_reads(spark: SparkSession, d: str) -> DataFrame:
 
 def s3_fastq_reads(spark: SparkSession, d: str) -> DataFrame:
     """Cleaned reads of a FASTQ of all tags as they are spelled, one file per library."""
-    tags = table(spark, d, "phas_to_detect").where("tag_seq is not null")
+    tags = table(spark, d, "phas_to_detect").where("tag_seq is not null and tag_id is not null").select("alib", "tag_id", "tag_seq", F.monotonically_increasing_id().alias("record"))
     four = F.array(F.concat(F.lit("@"), "tag_id"), F.col("tag_seq"), F.lit("+"), F.regexp_replace("tag_seq", ".", "I"))
-    records = tags.select(F.coalesce("alib", F.lit("")).alias("file"), F.monotonically_increasing_id().alias("record"), F.posexplode(four).alias("k", "value"))
+    records = tags.select(F.coalesce("alib", F.lit("")).alias("file"), "record", F.posexplode(four).alias("k", "value"))
     return RD.clean_fastq(RD.parse_fastq(records.select("file", (F.col("record") * 4 + F.col("k")).alias("line_no"), "value")))
 
 
