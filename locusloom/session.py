@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of the application, wherever they run; once for each application.
+
+    Spark serves the archive from the driver, as with ``--py-files``; no data go through it.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="locusloom-")) / package.name), "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data folder."""
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
