@@ -77,7 +77,8 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ends(spark: SparkSession, d: str) -> DataFrame:
-    return truncated_texts(table(spark, d, "documents"), "doc_id", "text", "source", "tgt_text", "align_score")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", "source", "tgt_text", "align_score"))
+    return truncated_texts(docs, "doc_id", "text", "source", "tgt_text", "align_score")
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
