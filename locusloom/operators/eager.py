@@ -43,7 +43,8 @@ def eager_join_aggregate(
     The result has the columns of ``left_groups`` and ``right_groups`` (name -> expression), ``count`` (joined rows)
     and one sum over the joined rows for each entry of ``left_sums`` and ``right_sums``. Sums of a side are multiplied
     by the other side's rows per key, so they equal those of the expanded join. Rows with a null key match nothing.
-    A null group value is a group of its own. A sum over nulls only is null. Empty tables give no rows. All names are
+    A null group value is a group of its own. A sum over nulls only is null. Empty tables give no
+    rows, or the count 0 where there are no groups. All names are
     aliased first, so further or clashing columns of the inputs do not matter.
     """
     lg, rg, ls, rs = ({**(x or {})} for x in (left_groups, right_groups, left_sums, right_sums))
@@ -56,7 +57,7 @@ def eager_join_aggregate(
     b = b.select(F.col(_KEY).alias("__rk"), F.col(_RN), *(F.col(f"__g_{n}").alias(f"__rg_{n}") for n in rg), *(F.col(f"__s_{n}").alias(f"__rs_{n}") for n in rs))
     joined = a.join(b, F.col("__k") == F.col("__rk"))
     return joined.groupBy(*(F.col(f"__lg_{n}").alias(n) for n in lg), *(F.col(f"__rg_{n}").alias(n) for n in rg)).agg(
-        F.sum(F.col(_LN) * F.col(_RN)).alias(count),
+        F.coalesce(F.sum(F.col(_LN) * F.col(_RN)), F.lit(0)).alias(count),
         *(F.sum(F.col(f"__ls_{n}") * F.col(_RN)).alias(n) for n in ls),
         *(F.sum(F.col(f"__rs_{n}") * F.col(_LN)).alias(n) for n in rs),
     )

@@ -17,7 +17,7 @@ _CLUSTER_FIELDS = (
 
 def _optional(fields: Column, name: str, place: int) -> Column:
     """Value of an optional SAM field by its name, else the one at its usual place."""
-    named = F.element_at(F.filter(fields, lambda x: x.startswith(name + ":")), 1)
+    named = F.try_element_at(F.filter(fields, lambda x: x.startswith(name + ":")), F.lit(1))
     at = F.try_element_at(fields, F.lit(place))
     return F.substring_index(F.coalesce(named, at), ":", -1).try_cast("int")
 
