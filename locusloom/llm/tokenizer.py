@@ -105,6 +105,8 @@ def _scan(symbols: np.ndarray, width: int = 64) -> np.ndarray:
 
 def split_texts(texts: list[str]) -> list[list[str]]:
     """The slices of each text by the public split pattern."""
+    if not texts:
+        return []
     joined = "\0".join(texts) + "\0"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts])
