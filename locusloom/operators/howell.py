@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from locusloom.functions.loci import register_relation
+from locusloom.functions.loci import phase_shift, register_relation
 from locusloom.operators.intervals import interval_periods
 from locusloom.operators.keyed import by_key
 
@@ -240,6 +240,59 @@ def trace_groups(trace: DataFrame, cluster: str, cutoff: float) -> DataFrame:
     return stretches.select(cluster, "strand", (F.col("period_start") / 2).cast("long").alias("group_start"), (F.col("period_end") / 2).cast("long").alias("group_end"))
 
 
+def trace_group_summaries(trace: DataFrame, cluster: str, phase: int, cutoff: float) -> DataFrame:
+    """Groups of overlapping strong windows, each with its peak, origin and the rows by register.
+
+    ``origin`` is that of the group's own peak, ``shift_nt`` the signed shortest shift from the register of the
+    cluster's peak to it (null if they share it), ``overlaps_peak`` whether the group reaches into the cluster's peak
+    window. Rows of a group are ``exact``, ``offset`` or ``other`` by their anchors; equal peaks are settled as in
+    :func:`trace_peaks`.
+    """
+    groups = trace_groups(trace, cluster, cutoff)
+    rows = trace.where(F.col("score") >= cutoff).withColumn("__bin", F.floor(F.col("window_start") / TILE))
+    binned = groups.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("group_start") / TILE), F.floor(F.col("group_end") / TILE))))
+    inside = rows.join(binned, [cluster, "strand", "__bin"]).where(F.col("window_start").between(F.col("group_start"), F.col("group_end")))
+    keys = [cluster, "strand", "group_start", "group_end"]
+    last = F.struct("score", F.when(F.col("strand") == "w", F.col("anchor")).otherwise(-F.col("anchor")).alias("o"))
+    origin = F.when(F.col("strand") == "w", F.col("window_start") + F.col("register")).otherwise(F.col("window_end") - F.col("register"))
+    peaks = inside.groupBy(*keys).agg(F.max_by(F.struct("anchor", "score", origin.alias("origin")), last).alias("p")).select(*keys, F.col("p.anchor").alias("group_anchor"), F.col("p.score").alias("group_score"), F.col("p.origin").alias("group_origin"))
+    relation = register_relation(F.col("anchor"), F.col("group_origin"), phase)
+    counted = inside.join(peaks, keys).groupBy(*keys, "group_anchor", "group_score", "group_origin").agg(*(F.count_if(relation == r).alias(f"{r}_rows") for r in ("exact", "offset", "other")))
+    main = trace_peaks(trace, cluster).select(cluster, "origin", "peak_start", "peak_end")
+    return counted.join(main, cluster).select(
+        *keys, "group_anchor", "group_score", "group_origin", "exact_rows", "offset_rows", "other_rows", phase_shift(F.col("origin"), F.col("group_origin"), phase).alias("shift_nt"),
+        ((F.col("group_start") <= F.col("peak_end")) & (F.col("peak_start") <= F.col("group_end"))).alias("overlaps_peak"),
+    )
+
+
+def peak_competitors(positions: DataFrame, scan: DataFrame, cluster: str, phase: int) -> DataFrame:
+    """Windows that overlap the peak in another frame with at least 0.9 of its exact score, one row each.
+
+    Here Crick wins if both strands are equally good.
+    """
+    size = CYCLES * phase
+    kind = positions.schema[cluster].dataType
+    rank = F.struct("score", (F.col("strand") == "c").cast("int").alias("c"))
+    peak = scan.groupBy(cluster).agg(F.max_by(F.struct("strand", F.col("window_start").alias("peak"), "lo", "hi", "first"), rank).alias("p")).select(cluster, "p.*")
+    near = positions.join(peak, [cluster, "strand"]).where(F.col("pos").between(F.col("peak") - size + 1, F.col("peak") + 2 * size - 2))
+
+    def kernel(key, rows):
+        peak, strand = int(rows["peak"][0]), rows["strand"][0]
+        lo, hi = _starts(int(rows["lo"][0]), int(rows["hi"][0]), int(rows["first"][0]), size)
+        starts = np.arange(max(lo, peak - size + 1), min(hi, peak + size - 1) + 1)
+        tables = register_tables(rows["pos"], rows["abun"].astype(float), starts, phase, strand)
+        exact, best = tables["exact"].max(axis=1), tables["exact"].argmax(axis=1)
+        frame = np.where(tables["occupied"], (starts + best if strand == "w" else starts + size - 1 - best) % phase, -1)
+        k = int(np.flatnonzero(starts == peak)[0])
+        if exact[k] <= 0:
+            return []
+        rival = (exact >= AMBIGUOUS * exact[k]) & (frame != frame[k])
+        return [(key[0], strand, int(s), int(s) + size - 1, float(x), int(f)) for s, x, f in zip(starts[rival], exact[rival], frame[rival])]
+
+    fields = [(cluster, kind), ("strand", T.StringType()), ("window_start", T.LongType()), ("window_end", T.LongType()), ("exact_score", T.DoubleType()), ("exact_frame", T.IntegerType())]
+    return by_key(near.select(cluster, "strand", "pos", "abun", "peak", "lo", "hi", "first"), [cluster], ["pos"], kernel, T.StructType([T.StructField(*f) for f in fields]))
+
+
 def register_reads(positions: DataFrame, peaks: DataFrame, cluster: str, phase: int) -> DataFrame:
     """Positions at the ten expected places of the peak's register: exact, else the better neighbour (left if equal).
 

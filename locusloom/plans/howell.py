@@ -69,7 +69,18 @@ def n14_feature_table(spark: SparkSession, d: str) -> DataFrame:
     return base.join(peaks, "clusterID", "left").join(ambiguity, "clusterID", "left").join(crowd, "clusterID", "left")
 
 
-QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n15_register_reads, n14_feature_table)}
+def n11_peak_competitors(spark: SparkSession, d: str) -> DataFrame:
+    positions, spans = _inputs(spark, d)
+    return H.peak_competitors(positions, H.howell_scan(positions, spans, "clusterID", PHASE), "clusterID", PHASE)
+
+
+def n12_trace_group_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Groups of strong windows with their peaks and registers: what the assembly of units starts from."""
+    rows = H.trace_group_summaries(_trace(spark, d), "clusterID", PHASE, CUTOFF)
+    return rows.withColumn("group_score", F.round("group_score", 6))
+
+
+QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n11_peak_competitors, n12_trace_group_summaries, n15_register_reads, n14_feature_table)}
 
 _BASE = f"""{READS}, pa AS (SELECT clusterID, strand, pos, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE len = 21 AND strand IS NOT NULL AND clusterID IS NOT NULL GROUP BY 1, 2, 3),
 sp AS (SELECT clusterID, min(pos) AS lo, max(pos) AS hi FROM reads WHERE clusterID IS NOT NULL GROUP BY 1),
@@ -107,6 +118,16 @@ SELECT clusterID, strand, min(window_start) AS group_start, max(window_end) AS g
     "n10_crowding": f"""WITH {_PEAKS}, x AS (SELECT tr.*, pa_, ps, pe, psc, (anchor <> pa_ AND ((anchor - origin) % 21 + 21) % 21 NOT IN (0, 1, 20) AND window_start <= pe AND ps <= window_end AND abs(psc - score) <= 4) AS near FROM tr JOIN pk USING (clusterID, strand))
 SELECT clusterID, strand, pa_ AS peak_anchor, round(psc, 6) AS peak_score, count(*) FILTER (WHERE near) AS crowding_windows, round(max(score) FILTER (WHERE near), 6) AS crowding_best,
   round(psc - max(score) FILTER (WHERE near), 6) AS crowding_gap FROM x GROUP BY clusterID, strand, pa_, psc""",
+    "n12_trace_group_summaries": f"""WITH {_PEAKS}, b AS (SELECT *, max(window_end) OVER (PARTITION BY clusterID, strand ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_ FROM tr WHERE score >= 12.5),
+i AS (SELECT *, sum(CASE WHEN before_ IS NULL OR window_start > before_ THEN 1 ELSE 0 END) OVER (PARTITION BY clusterID, strand ORDER BY window_start) AS grp FROM b),
+q AS (SELECT *, min(window_start) OVER v AS gs, max(window_end) OVER v AS ge, row_number() OVER (PARTITION BY clusterID, strand, grp ORDER BY score DESC, CASE strand WHEN 'w' THEN -anchor ELSE anchor END) AS k3,
+  CASE strand WHEN 'w' THEN window_start + register ELSE window_end - register END AS o FROM i WINDOW v AS (PARTITION BY clusterID, strand, grp)),
+top AS (SELECT clusterID, strand, grp, gs, ge, anchor AS ga, score AS gsc, o AS go_ FROM q WHERE k3 = 1),
+rel AS (SELECT top.*, ((q.anchor - go_) % 21 + 21) % 21 AS m FROM top JOIN q USING (clusterID, strand, grp)),
+cnt AS (SELECT clusterID, strand, gs, ge, ga, gsc, go_, count(*) FILTER (WHERE m = 0) AS exact_rows, count(*) FILTER (WHERE m IN (1, 20)) AS offset_rows, count(*) FILTER (WHERE m NOT IN (0, 1, 20)) AS other_rows FROM rel GROUP BY ALL)
+SELECT cnt.clusterID, cnt.strand, gs AS group_start, ge AS group_end, ga AS group_anchor, round(gsc, 6) AS group_score, go_ AS group_origin, exact_rows, offset_rows, other_rows,
+  CASE WHEN ((go_ - origin) % 21 + 21) % 21 = 0 THEN NULL WHEN ((go_ - origin) % 21 + 21) % 21 > 10.5 THEN ((go_ - origin) % 21 + 21) % 21 - 21 ELSE ((go_ - origin) % 21 + 21) % 21 END AS shift_nt, gs <= pe AND ps <= ge AS overlaps_peak
+FROM cnt JOIN pk USING (clusterID)""",
     "n15_register_reads": f"""WITH {_PEAKS}, pl AS (SELECT clusterID, strand, origin, CAST(unnest(range(0, 10)) AS INT) AS cycle FROM pk),
 ex AS (SELECT *, origin + cycle * CASE strand WHEN 'w' THEN 21 ELSE -21 END AS expected FROM pl),
 fd AS (SELECT ex.*, pa.pos, pa.abun, pa.pos - expected AS o FROM ex JOIN pa ON pa.clusterID = ex.clusterID AND pa.strand = ex.strand AND pa.pos BETWEEN expected - 1 AND expected + 1)
