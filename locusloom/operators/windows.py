@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.functions.loci import known
-from locusloom.functions.stats import fisher_log10, stouffer
+from locusloom.functions.stats import fisher_log10
 
 
 def window_shape(phase: int) -> tuple[int, int]:
@@ -37,7 +37,8 @@ def scoring_windows(rows: DataFrame, cluster: str, forward: str, reverse: str, l
 
 
 def with_combined(windows: DataFrame) -> DataFrame:
-    return windows.withColumn("combined_window_p_value", stouffer("fw_pval_corr", "rv_pval_corr"))
+    """The product of both directions' least p-values."""
+    return windows.withColumn("combined_window_p_value", F.col("fw_pval_corr") * F.col("rv_pval_corr"))
 
 
 def cluster_scores(windows: DataFrame, cluster: str, p: str) -> DataFrame:

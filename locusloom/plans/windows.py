@@ -24,7 +24,8 @@ def w3_scoring_windows(spark: SparkSession, d: str) -> DataFrame:
     """Least corrected p-values of either direction in the sliding windows of each cluster."""
     rows = reads(spark, d).where("clusterID is not null")
     length, step = W.window_shape(PHASE)
-    return W.scoring_windows(rows, "clusterID", "pval_corr_f", "pval_corr_r", length, step, LEAST)
+    windows = W.with_combined(W.scoring_windows(rows, "clusterID", "pval_corr_f", "pval_corr_r", length, step, LEAST))
+    return windows.withColumn("combined_window_p_value", F.round("combined_window_p_value", 12))
 
 
 def a12_cluster_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +71,8 @@ SQL = {
     "w3_scoring_windows": f"""WITH {READS},
 s AS (SELECT clusterID, min(pos) AS s, max(pos) AS e FROM reads WHERE clusterID IS NOT NULL GROUP BY 1 HAVING max(pos) - min(pos) >= 48),
 n AS (SELECT clusterID, s, unnest(range(0, 1 + (e - s - 23) // 5)) AS window_n FROM s)
-SELECT n.clusterID, n.window_n, min(CASE WHEN NOT isnan(pval_corr_f) THEN pval_corr_f END) AS fw_pval_corr, min(CASE WHEN NOT isnan(pval_corr_r) THEN pval_corr_r END) AS rv_pval_corr
+SELECT n.clusterID, n.window_n, min(CASE WHEN NOT isnan(pval_corr_f) THEN pval_corr_f END) AS fw_pval_corr, min(CASE WHEN NOT isnan(pval_corr_r) THEN pval_corr_r END) AS rv_pval_corr,
+  round(min(CASE WHEN NOT isnan(pval_corr_f) THEN pval_corr_f END) * min(CASE WHEN NOT isnan(pval_corr_r) THEN pval_corr_r END), 12) AS combined_window_p_value
 FROM n JOIN reads r ON r.clusterID = n.clusterID AND r.pos >= n.s + n.window_n * 5 AND r.pos < n.s + n.window_n * 5 + 23
 GROUP BY 1, 2 HAVING min(CASE WHEN NOT isnan(pval_corr_f) THEN pval_corr_f END) IS NOT NULL AND min(CASE WHEN NOT isnan(pval_corr_r) THEN pval_corr_r END) IS NOT NULL""",
     "a12_cluster_scores": """WITH w AS (SELECT cluster_id, CASE WHEN NOT isnan(combined_window_p_value) THEN combined_window_p_value END AS p FROM clusters_windows_to_score WHERE cluster_id IS NOT NULL),

@@ -26,12 +26,15 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     """``name``, ``strand``, ``chromosome``, ``pos``, ``tag_seq``, ``len``, ``abun``, ``mismatches`` and ``hits`` of alignments.
 
     Kept are mapped lines with flag 0, 256 (Watson), 16 or 272 (Crick). Abundance stands behind the last bar of the
-    name; mismatches are in ``XM`` and hits in ``NH``. Lines where a number cannot be read are skipped.
+    name; mismatches are in ``XM`` and hits in ``NH``. Lines where a number cannot be read are skipped. Further columns of
+    ``lines`` stay.
     """
     f = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("@") & (F.size(f) >= 11)).select(f.alias("f"))
-    at = lambda i: F.col("f")[i]
+    kept = [c for c in lines.columns if c != "value"]
+    rows = lines.where(~F.col("value").startswith("@") & (F.size(f) >= 11)).select(*kept, f.alias("f"))
+    at = lambda i: F.get("f", F.lit(i))
     out = rows.where(at(1).isin("0", "256", "16", "272")).select(
+        *kept,
         at(0).alias("name"), F.when(at(1).isin("0", "256"), "w").otherwise("c").alias("strand"), at(2).alias("chromosome"), at(3).try_cast("long").alias("pos"),
         at(9).alias("tag_seq"), F.length(at(9)).alias("len"), F.substring_index(at(0), "|", -1).try_cast("long").alias("abun"),
         _optional(F.col("f"), "XM", -7).alias("mismatches"), _optional(F.col("f"), "NH", -1).alias("hits"),
@@ -47,11 +50,11 @@ def usable_alignments(alignments: DataFrame, max_hits: int = 25, mismatches: int
 def parse_cluster_blocks(records: DataFrame) -> DataFrame:
     """The rows of ``cluster = <id>`` blocks, each with its ``clusterID``; rows with fewer fields are skipped."""
     lines = F.split("value", "\n")
-    ids = F.regexp_extract(lines[0], r"^\s*cluster\s*=\s*(.*?)\s*$", 1)
+    ids = F.regexp_extract(F.get(lines, F.lit(0)), r"^\s*cluster\s*=\s*(.*?)\s*$", 1)
     rows = records.select(*(c for c in records.columns if c != "value"), ids.alias("clusterID"), F.explode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("__row"))
     f = F.split("__row", "\t")
     kept = rows.where((F.col("clusterID") != "") & (F.size(f) >= len(_CLUSTER_FIELDS)))
-    return kept.select(*(c for c in rows.columns if c != "__row"), *((f[i] if t == "string" else F.trim(f[i]).try_cast(t)).alias(n) for i, (n, t) in enumerate(_CLUSTER_FIELDS)))
+    return kept.select(*(c for c in rows.columns if c != "__row"), *((F.get(f, F.lit(i)) if t == "string" else F.trim(F.get(f, F.lit(i))).try_cast(t)).alias(n) for i, (n, t) in enumerate(_CLUSTER_FIELDS)))
 
 
 def cluster_block_lines(rows: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def parse_annotation(lines: DataFrame, form: str) -> DataFrame:
 def parse_id_map(lines: DataFrame) -> DataFrame:
     """``identifier`` and ``clusterID`` of ragged lines ``identifier<TAB>id<TAB>id...``."""
     f = F.split("value", "\t")
-    rows = lines.where(F.size(f) > 1).select(f[0].alias("identifier"), F.explode(F.slice(f, 2, F.size(f) - 1)).alias("clusterID"))
+    rows = lines.where(F.size(f) > 1).select(F.get(f, F.lit(0)).alias("identifier"), F.explode(F.slice(f, 2, F.size(f) - 1)).alias("clusterID"))
     return rows.where("identifier <> '' and clusterID <> ''")
 
 

@@ -12,7 +12,7 @@ from locusloom.sources.lines import chunks, numbered_lines
 def parse_tag_counts(lines: DataFrame, least: int = 1) -> DataFrame:
     """``tag_seq`` and ``abun`` of ``sequence<TAB>count`` lines with at least ``least`` copies; other lines are skipped."""
     parts = F.split("value", "\t")
-    rows = lines.where(F.size(parts) == 2).select(parts[0].alias("tag_seq"), F.trim(parts[1]).try_cast("long").alias("abun"))
+    rows = lines.where(F.size(parts) == 2).select(F.get(parts, F.lit(0)).alias("tag_seq"), F.trim(F.get(parts, F.lit(1))).try_cast("long").alias("abun"))
     return rows.where((F.col("tag_seq") != "") & (F.col("abun") >= least))
 
 
