@@ -265,6 +265,22 @@ def trace_group_summaries(trace: DataFrame, cluster: str, phase: int, cutoff: fl
     )
 
 
+def alternative_candidates(trace: DataFrame, cluster: str, phase: int, cutoff: float) -> DataFrame:
+    """Windows of other registers that overlap the peak on its strand, grouped by the shift of their register.
+
+    One row per cluster and signed ``shift_nt``: rows, best score and extent. These are the candidates for overlapping
+    alternatives, before their support is weighed.
+    """
+    rows = trace.join(trace_peaks(trace, cluster), [cluster, "strand"])
+    origin = F.when(F.col("strand") == "w", F.col("window_start") + F.col("register")).otherwise(F.col("window_end") - F.col("register"))
+    other = (
+        (F.col("anchor") != F.col("peak_anchor")) & (F.col("score") >= cutoff) & (register_relation(F.col("anchor"), F.col("origin"), phase) == "other")
+        & (F.col("window_start") <= F.col("peak_end")) & (F.col("peak_start") <= F.col("window_end"))
+    )
+    shifted = rows.where(other).withColumn("shift_nt", phase_shift(F.col("origin"), origin, phase)).where("shift_nt is not null")
+    return shifted.groupBy(cluster, "strand", "shift_nt").agg(F.count(F.lit(1)).alias("windows"), F.max("score").alias("best_score"), F.min("window_start").alias("min_start"), F.max("window_end").alias("max_end"))
+
+
 def peak_competitors(positions: DataFrame, scan: DataFrame, cluster: str, phase: int) -> DataFrame:
     """Windows that overlap the peak in another frame with at least 0.9 of its exact score, one row each.
 

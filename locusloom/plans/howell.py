@@ -80,7 +80,13 @@ def n12_trace_group_summaries(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("group_score", F.round("group_score", 6))
 
 
-QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n11_peak_competitors, n12_trace_group_summaries, n15_register_reads, n14_feature_table)}
+def n12_alternative_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping windows of other registers by the shift of their register."""
+    rows = H.alternative_candidates(_trace(spark, d), "clusterID", PHASE, CUTOFF)
+    return rows.withColumn("best_score", F.round("best_score", 6))
+
+
+QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n11_peak_competitors, n12_trace_group_summaries, n12_alternative_candidates, n15_register_reads, n14_feature_table)}
 
 _BASE = f"""{READS}, pa AS (SELECT clusterID, strand, pos, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE len = 21 AND strand IS NOT NULL AND clusterID IS NOT NULL GROUP BY 1, 2, 3),
 sp AS (SELECT clusterID, min(pos) AS lo, max(pos) AS hi FROM reads WHERE clusterID IS NOT NULL GROUP BY 1),
@@ -128,6 +134,10 @@ cnt AS (SELECT clusterID, strand, gs, ge, ga, gsc, go_, count(*) FILTER (WHERE m
 SELECT cnt.clusterID, cnt.strand, gs AS group_start, ge AS group_end, ga AS group_anchor, round(gsc, 6) AS group_score, go_ AS group_origin, exact_rows, offset_rows, other_rows,
   CASE WHEN ((go_ - origin) % 21 + 21) % 21 = 0 THEN NULL WHEN ((go_ - origin) % 21 + 21) % 21 > 10.5 THEN ((go_ - origin) % 21 + 21) % 21 - 21 ELSE ((go_ - origin) % 21 + 21) % 21 END AS shift_nt, gs <= pe AND ps <= ge AS overlaps_peak
 FROM cnt JOIN pk USING (clusterID)""",
+    "n12_alternative_candidates": f"""WITH {_PEAKS}, x AS (SELECT tr.*, (((CASE strand WHEN 'w' THEN window_start + register ELSE window_end - register END) - origin) % 21 + 21) % 21 AS m
+  FROM tr JOIN pk USING (clusterID, strand) WHERE anchor <> pa_ AND score >= 12.5 AND ((anchor - origin) % 21 + 21) % 21 NOT IN (0, 1, 20) AND window_start <= pe AND ps <= window_end)
+SELECT clusterID, strand, CASE WHEN m > 10.5 THEN m - 21 ELSE m END AS shift_nt, count(*) AS windows, round(max(score), 6) AS best_score, min(window_start) AS min_start, max(window_end) AS max_end
+FROM x WHERE m <> 0 GROUP BY 1, 2, 3""",
     "n15_register_reads": f"""WITH {_PEAKS}, pl AS (SELECT clusterID, strand, origin, CAST(unnest(range(0, 10)) AS INT) AS cycle FROM pk),
 ex AS (SELECT *, origin + cycle * CASE strand WHEN 'w' THEN 21 ELSE -21 END AS expected FROM pl),
 fd AS (SELECT ex.*, pa.pos, pa.abun, pa.pos - expected AS o FROM ex JOIN pa ON pa.clusterID = ex.clusterID AND pa.strand = ex.strand AND pa.pos BETWEEN expected - 1 AND expected + 1)
