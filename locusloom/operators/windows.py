@@ -42,7 +42,7 @@ def with_combined(windows: DataFrame) -> DataFrame:
 
 
 def cluster_scores(windows: DataFrame, cluster: str, p: str) -> DataFrame:
-    """Fisher's combination of the windows of each cluster: ``phasis_score`` (capped at 300) and ``combined_fishers``.
+    """Fisher's combination of the windows of each cluster: ``phase_score`` (capped at 300) and ``combined_fishers``.
 
     Only the sum of logarithms and the count of a cluster are gathered, never its values.
     """
@@ -50,5 +50,5 @@ def cluster_scores(windows: DataFrame, cluster: str, p: str) -> DataFrame:
     logs = F.ln(F.least(F.greatest(value, F.lit(1e-300)), F.lit(1.0)))
     sums = windows.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.sum(logs).alias("__s"), F.count(value).alias("__n"))
     return sums.withColumn("__l", fisher_log10("__s", "__n")).select(
-        cluster, F.least(F.lit(300.0), -F.col("__l")).alias("phasis_score"), F.when(F.col("__n") == 0, 1.0).otherwise(F.greatest(F.pow(F.lit(10.0), F.col("__l")), F.lit(1e-300))).alias("combined_fishers")
+        cluster, F.least(F.lit(300.0), -F.col("__l")).alias("phase_score"), F.when(F.col("__n") == 0, 1.0).otherwise(F.greatest(F.pow(F.lit(10.0), F.col("__l")), F.lit(1e-300))).alias("combined_fishers")
     )

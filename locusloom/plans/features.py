@@ -51,7 +51,7 @@ def j6_feature_scores(spark: SparkSession, d: str) -> DataFrame:
     scores = cluster_scores(table(spark, d, "clusters_windows_to_score"), "cluster_id", "combined_window_p_value")
     rows = _features(spark, d).select("identifier", "alib", "cID").distinct()
     joined = rows.join(scores, rows["cID"] == F.col("cluster_id"), "left")
-    return joined.select("identifier", "alib", "cID", F.round(F.coalesce("phasis_score", F.lit(0.0)), 6).alias("score"))
+    return joined.select("identifier", "alib", "cID", F.round(F.coalesce("phase_score", F.lit(0.0)), 6).alias("score"))
 
 
 def _calls(spark: SparkSession, d: str) -> DataFrame:

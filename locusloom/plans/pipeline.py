@@ -83,7 +83,7 @@ def feature_table(scored: DataFrame, p: Params) -> DataFrame:
     out = names.join(FE.cluster_features(scored, c, p.phase).drop("start", "end"), c)
     for part in (scores, peaks, ambiguity, crowd):
         out = out.join(part, c, "left")
-    return out.withColumnsRenamed({c: "cID", "phasis_score": "phase_score"}).fillna({"phase_score": 0.0, "combined_fishers": 1.0})
+    return out.withColumnRenamed(c, "cID").fillna({"phase_score": 0.0, "combined_fishers": 1.0})
 
 
 def calls(features: DataFrame, p: Params, overrides: DataFrame | None = None) -> DataFrame:

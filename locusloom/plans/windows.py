@@ -31,7 +31,7 @@ def w3_scoring_windows(spark: SparkSession, d: str) -> DataFrame:
 def a12_cluster_scores(spark: SparkSession, d: str) -> DataFrame:
     """Fisher's combination of the given windows of each cluster."""
     scores = W.cluster_scores(table(spark, d, "clusters_windows_to_score"), "cluster_id", "combined_window_p_value")
-    return scores.select("cluster_id", F.round("phasis_score", 6).alias("phasis_score"))
+    return scores.select("cluster_id", F.round("phase_score", 6).alias("phase_score"))
 
 
 def n5_site_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +80,7 @@ c AS (SELECT cluster_id, -sum(ln(least(greatest(p, 1e-300), 1.0))) AS x, count(p
 t AS (SELECT cluster_id, x, k, i, CASE WHEN i = 0 THEN 0.0 ELSE i * ln(greatest(x, 1e-300)) - lgamma(i + 1) END AS l FROM (SELECT *, unnest(range(0, greatest(k, 1))) AS i FROM c)),
 m AS (SELECT cluster_id, any_value(x) AS x, any_value(k) AS k, max(l) AS top FROM t GROUP BY 1),
 s AS (SELECT m.cluster_id, m.k, -m.x + m.top + ln(sum(exp(t.l - m.top))) AS lp FROM m JOIN t USING (cluster_id) GROUP BY m.cluster_id, m.k, m.x, m.top)
-SELECT cluster_id, round(CASE WHEN k = 0 THEN 0 ELSE least(300.0, -lp / ln(10)) END, 6) AS phasis_score FROM s""",
+SELECT cluster_id, round(CASE WHEN k = 0 THEN 0 ELSE least(300.0, -lp / ln(10)) END, 6) AS phase_score FROM s""",
     "n1_hypergeometric": """WITH q AS (SELECT DISTINCT N_f, X_f FROM phas_to_detect WHERE N_f IS NOT NULL AND X_f IS NOT NULL),
 k AS (SELECT N_f, X_f, unnest(range(X_f, least(90, N_f) + 1)) AS k FROM q),
 m AS (SELECT N_f, X_f, sum(CASE WHEN N_f - k <= 540 THEN exp(lgamma(91) - lgamma(k + 1) - lgamma(91 - k) + lgamma(541) - lgamma(N_f - k + 1) - lgamma(541 - N_f + k)
