@@ -7,12 +7,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusloom.session import saved
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 16, 4, 0.8
+#: Members of a bucket that a candidate is aligned with in the first round, and how many times as many in each next one.
+FIRST, GROWTH = 4, 4
 LETTER = r"[\p{L}\p{M}&&[^\p{IsHan}]]"
 #: A word: a Han character, an initial with its dot, a run of letters, a number.
 WORD = rf"(?<![\p{{L}}\p{{M}}])\p{{Lu}}\.(?=\s|$)|{LETTER}+(?:['’]{LETTER}+)*|\p{{IsHan}}|\p{{N}}+(?:[.,]\p{{N}}+)*"
@@ -62,18 +64,19 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, sizes, bands = [], [], []
-        for key, words in zip(batch.column(0).to_pylist(), _lists(batch.column(1))):
+        at, sizes, bands = [], [], []
+        for i, words in enumerate(_lists(batch.column(3))):
             shingles = shingle_hashes(words)
             if len(shingles):
-                keys.append(key)
-                sizes.append(len(words))
+                at.append(i)
+                sizes.append(len(shingles))
                 bands.append(band_hashes(shingles).view(np.int64))
         flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
+        every = pa.array(np.repeat(np.array(at, np.int64), BANDS))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.array(keys, object), BANDS), pa.string()), pa.array(np.repeat(np.array(sizes, np.int32), BANDS)),
-             pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(keys))), pa.array(flat)],
-            names=["key", "n", "band", "bucket"],
+            [*(batch.column(i).take(every) for i in range(3)), pa.array(np.repeat(np.array(sizes, np.int32), BANDS)),
+             pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(at))), pa.array(flat)],
+            names=["key", "candidate", "chars", "n", "band", "bucket"],
         )
 
 
@@ -109,16 +112,33 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut_copies(texts: DataFrame, key: str, text: str, is_candidate: Column) -> DataFrame:
     """``key`` of every candidate text that a near-copy of at least its length continues.
 
-    ``texts`` has one row per distinct text (exact copies are grouped before). Each band bucket names its longest text
-    by a map-side combined maximum, and the candidates in it are aligned with that one: a text that was cut short has
-    its evidence in any longer copy, so one partner per bucket is enough, and no bucket makes more pairs than it has
-    members. Texts under six words have no shingle to compare and give nothing.
+    ``texts`` has one row per distinct text (exact copies are grouped before). The members of each band bucket are
+    ranked by their characters, and each candidate is aligned with those of at least its own, the longest first. It
+    leaves at the first one that continues it; the others go on with the next members, in rounds that grow by ``GROWTH``,
+    until no bucket has any left. So the pairs grow with the texts where copies continue them; only a candidate that
+    none continues is aligned with every longer member of its buckets. Pairs whose numbers of shingles rule the
+    similarity out are not aligned. Texts under five words have no shingle to compare and give nothing.
     """
     named = texts.select(F.col(key).alias("key"), F.col(text).alias("text"), is_candidate.alias("candidate"))
-    rows = saved(named.select("key", word_hashes(F.col("text")).alias("words")).mapInArrow(_band_rows, "key string, n int, band int, bucket long"), "bands")
-    longest = rows.groupBy("band", "bucket").agg(F.max(F.struct("n", "key")).alias("top"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    pairs = rows.join(longest, ["band", "bucket"]).where("key <> top.key and n <= top.n").select("key", F.col("top.key").alias("other")).distinct()
-    short = named.where("candidate").select("key", F.col("text").alias("short"))
-    long = named.select(F.col("key").alias("other"), F.col("text").alias("long"))
-    both = pairs.join(short, "key").join(long, "other").select("key", word_hashes(F.col("short")).alias("short"), word_hashes(F.col("long")).alias("long"))
-    return both.mapInArrow(_aligned, "key string").distinct()
+    hashed = named.select("key", F.coalesce("candidate", F.lit(False)).alias("candidate"), F.length("text").alias("chars"), word_hashes(F.col("text")).alias("words"))
+    rows = saved(hashed.mapInArrow(_band_rows, "key string, candidate boolean, chars int, n int, band int, bucket long"), "bands")
+    shared = rows.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members"), F.max("candidate").alias("asked")).where("members > 1 and asked")
+    longest = Window.partitionBy("band", "bucket").orderBy(F.desc("chars"))
+    ranked = rows.join(shared, ["band", "bucket"]).withColumns(
+        {"place": F.row_number().over(longest.orderBy(F.desc("chars"), "key")), "reach": F.count(F.lit(1)).over(longest.rangeBetween(Window.unboundedPreceding, Window.currentRow))}
+    )
+    ranked = saved(ranked.select("key", "candidate", "n", "band", "bucket", "place", "reach"), "members")
+    words = saved(named.join(ranked.select("key").distinct(), "key", "left_semi").select("key", word_hashes(F.col("text")).alias("words")), "member-words")
+    partners = ranked.select("band", "bucket", "place", F.col("key").alias("other"), F.col("n").alias("other_n"))
+    waiting = ranked.where("candidate and reach > 1").select("key", "n", "band", "bucket", "reach")
+    found, tried, more = None, 0, FIRST
+    while not waiting.isEmpty():
+        places = F.explode(F.sequence(F.lit(tried + 1), F.least(F.col("reach"), F.lit(tried + more)))).alias("place")
+        near = "key <> other and least(n, other_n) >= " + str(SIMILAR) + " * greatest(n, other_n)"
+        pairs = waiting.select("key", "n", "band", "bucket", places).join(partners, ["band", "bucket", "place"]).where(near).select("key", "other").distinct()
+        both = pairs.join(words.withColumnRenamed("words", "short"), "key").join(words.select(F.col("key").alias("other"), F.col("words").alias("long")), "other")
+        hit = saved(both.select("key", "short", "long").mapInArrow(_aligned, "key string").distinct(), "continued")
+        found = hit if found is None else found.unionByName(hit)
+        tried, more = tried + more, more * GROWTH
+        waiting = saved(waiting.where(F.col("reach") > tried).join(hit, "key", "left_anti"), "waiting")
+    return found.distinct() if found is not None else named.select("key").limit(0)

@@ -29,6 +29,27 @@ def test_cut_copies(spark):
     assert [r.key for r in cut_copies(df, "key", "text", F.lit(True)).collect()] == ["c"]
 
 
+def test_partners_behind_the_longest(spark):
+    # longer variants that end where the cut does stand above the one copy that continues it, in every bucket
+    names = lambda n, by: [chr(97 + i % 26) + chr(97 + i // 26 % 26) + by for i in range(n)]
+    base = names(60, "x")
+    rows = [("cut", " ".join(base[:57]) + " fu"), ("true", " ".join(base))]
+    rows += [(f"v{i}", " ".join(names(4, "y" + chr(97 + i)) + base[:57]) + " fu") for i in range(25)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    got = cut_copies(df, "key", "text", F.col("key") == "cut")
+    assert [r.key for r in got.collect()] == ["cut"]
+    assert cut_copies(df.where("key <> 'true'"), "key", "text", F.col("key") == "cut").count() == 0
+
+
+def test_same_words_more_characters(spark):
+    whole = " ".join(WORDS) + " now"
+    for a, b in (("a", "z"), ("z", "a")):  # whichever key is greater
+        df = spark.createDataFrame([(a, " ".join(WORDS[:-1]) + " wa"), (b, " ".join(WORDS[:-1]) + " way home")], "key string, text string")
+        assert [r.key for r in cut_copies(df, "key", "text", F.lit(True)).collect()] == [a]
+        df = spark.createDataFrame([(a, whole[:-1]), (b, whole)], "key string, text string")
+        assert [r.key for r in cut_copies(df, "key", "text", F.lit(True)).collect()] == [a]
+
+
 def sentence(i, place):
     return f"Worker {chr(65 + i % 26)}olm repaired the {WORDS[i % 9]} beside the {place}"
 
