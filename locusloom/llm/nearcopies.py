@@ -25,8 +25,8 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD.replace(r"\p{Lu}", r"\p{L}")), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """Distinct hashes of the runs of five words; none for shorter texts."""
+def _run_hashes(words: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of five words, in order; none for shorter texts."""
     n = len(words) - SHINGLE + 1
     if n < 1:
         return np.zeros(0, np.uint64)
@@ -34,7 +34,12 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
         out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
-    return np.unique(out)
+    return out
+
+
+def shingle_hashes(words: np.ndarray) -> np.ndarray:
+    """Distinct hashes of the runs of five words; none for shorter texts."""
+    return np.unique(_run_hashes(words))
 
 
 @lru_cache(1)
@@ -80,11 +85,29 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _end_of(tail: np.ndarray, long: np.ndarray) -> tuple[int, int]:
+    """Edits (words changed, left out or added) of ``tail`` along the beginning of ``long``, and the place where it ends there.
+
+    Of places with the fewest edits, the one that fits the length of ``tail`` best. More than twice its words are not
+    looked at, as changing all of them costs less.
+    """
+    long = long[: 2 * len(tail)]
+    at = np.arange(len(long) + 1)
+    edits = at
+    for word in tail:
+        step = np.append(edits[0] + 1, np.minimum(edits[1:] + 1, edits[:-1] + (long != word)))
+        edits = np.minimum.accumulate(step - at) + at
+    best = np.lexsort((np.abs(at - len(tail)), edits))[0]
+    return int(edits[best]), int(best)
+
+
 def ends_early(short: np.ndarray, long: np.ndarray) -> bool:
     """True if ``short`` runs along ``long`` up to its own end, where ``long`` goes on.
 
-    The last word of ``short`` may be a fragment. Its last five whole words are looked up in ``long``; the place that
-    fits the lengths best within the dissimilarity allowed must leave more words behind it than ``short`` has.
+    The last word of ``short`` may be a fragment. Its whole words are aligned from the last five that both have in a
+    row, no further apart than the dissimilarity allows; the words behind those may be changed, left out or added, as
+    long as most of the last five words (of all behind the common five, if they are more) remain. The place where they
+    end must leave more words behind it than ``short`` has.
     """
     if len(short) < SHINGLE + 1 or len(long) < SHINGLE + 1:
         return False
@@ -92,14 +115,20 @@ def ends_early(short: np.ndarray, long: np.ndarray) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     if common < SIMILAR * (len(a) + len(b) - common):
         return False
-    tail = short[-SHINGLE - 1 : -1]
-    places = np.flatnonzero(np.all([long[i : len(long) - SHINGLE + 1 + i] == tail[i] for i in range(SHINGLE)], axis=0))
-    if not len(places):
+    whole, runs = short[:-1], _run_hashes(long)
+    mine = _run_hashes(whole)
+    for i in np.flatnonzero(np.isin(mine, runs))[::-1]:
+        places = np.flatnonzero(runs == mine[i])
+        start = places[np.abs(places - i).argmin()]
+        if abs(start - i) <= (1 - SIMILAR) * len(long):
+            break
+    else:
         return False
-    best = places[np.abs(places + SHINGLE - (len(short) - 1)).argmin()]
-    if abs(best + SHINGLE - (len(short) - 1)) > (1 - SIMILAR) * len(long):
+    tail = whole[i + SHINGLE :]
+    edits, end = _end_of(tail, long[start + SHINGLE :])
+    if 2 * edits >= max(SHINGLE, len(tail)):
         return False
-    left = len(long) - (best + SHINGLE)
+    left = len(long) - (start + SHINGLE + end)
     return bool(left > 1 or (left == 1 and long[-1] != short[-1]))
 
 

@@ -13,6 +13,17 @@ def test_alignment_ends_early():
     assert not ends_early(a, np.append(np.arange(5), a)) and not ends_early(a[:4], a[:5])
 
 
+def test_alignment_of_changed_words():
+    a, b = np.arange(100, 200), np.arange(100, 300)
+    cut = np.append(a[:95], 7)
+    for at in range(90, 95):  # one changed, missing or added word among the last five
+        assert ends_early(np.where(cut == 100 + at, 8, cut), a), at
+        assert ends_early(np.delete(cut, at), a) and ends_early(np.insert(cut, at, 8), a), at
+        assert not ends_early(np.where(a == 104 + at, 8, a), a), at
+    assert not ends_early(np.concatenate([a[:90], np.arange(5)]), a)  # goes on differently
+    assert ends_early(np.append(np.where((b >= 282) & (b % 4 == 0), 8, b)[:192], 7), b)  # every fourth word differs
+
+
 def test_bands_meet_for_similar_sets():
     rng = np.random.default_rng(2)
     for _ in range(20):
