@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,17 @@ from locusloom.operators.overlaps import overlap_groups
 from locusloom.session import saved
 
 _KEYS = ["alib", "chromosome"]
+_ALTERNATIVES = ["Howell_overlapping_alt_count", "Howell_overlapping_alt_best_score"]
 _STATS = ["pval_h_f", "N_f", "X_f", "pval_r_f", "pval_corr_f", "pval_h_r", "N_r", "X_r", "pval_r_r", "pval_corr_r"]
 
 
 def prepared(alignments: DataFrame, p: Params) -> DataFrame:
-    """Usable alignments of libraries; pooled into one if asked, and normalised by the library's alignments."""
-    rows = alignments.withColumn("alib", F.lit("ALL_LIBS")) if p.pooled else alignments
+    """Usable alignments of libraries; pooled into one if asked, and normalised by the library's alignments.
+
+    Tags counted less than ``min_depth`` times in their library are left out before anything else.
+    """
+    deep = alignments.where(F.col("abun") >= p.min_depth)
+    rows = deep.withColumn("alib", F.lit("ALL_LIBS")) if p.pooled else deep
     if p.normalise:
         rows = rows.join(C.library_totals(rows), "alib").withColumn("abun", per_ten_million(F.col("abun"), F.col("total_abun"), p.norm_factor)).drop("total_abun")
     return rows.where((F.col("hits") < p.max_hits) & (F.col("mismatches") <= p.mismatches))
@@ -87,13 +94,21 @@ def feature_table(scored: DataFrame, p: Params) -> DataFrame:
 
 
 def calls(features: DataFrame, p: Params, overrides: DataFrame | None = None) -> DataFrame:
-    """``features`` with ``label``, ``final_class`` and ``evidence_reason``."""
+    """``features`` with ``label``, ``final_class`` and ``evidence_reason``.
+
+    :func:`feature_table` does not compute the two columns on overlapping alternatives. Without them (they are null then,
+    and a warning says so) the rule ``weak_scaffold_alternative_context`` has three of its five contexts, so a cluster
+    with a peak of 20 to 30, weak support and overlapping alternatives alone stays ``PHAS`` where it should be
+    ``PHAS-like``.
+    """
+    absent = [n for n in _ALTERNATIVES if n not in features.columns]
+    if absent and not p.legacy:
+        warnings.warn(f"{', '.join(absent)} not given: clusters of weak support may be PHAS in place of PHAS-like", stacklevel=2)
     rows = CL.mixture_labels(features)
     label = CL.filtered_label(F.col("label"), W.score_cutoff(p.phase, p.score_cutoff), p.least_peak, p.most_complexity)
     rows = rows.withColumn("label", label)
-    for name in ("Howell_overlapping_alt_count", "Howell_overlapping_alt_best_score"):
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast("double"))
+    for name in absent:
+        rows = rows.withColumn(name, F.lit(None).cast("double"))
     if p.legacy:
         rows = rows.withColumn("final_class", F.col("label")).withColumn("evidence_reason", F.lit("legacy_classification"))
     else:

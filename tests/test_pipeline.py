@@ -1,5 +1,7 @@
 import random
+import warnings
 
+import pytest
 from pyspark.sql import functions as F
 
 from locusloom.__main__ import main
@@ -59,6 +61,30 @@ def test_pooled_and_normalised(spark):
     assert sorted((r.alib, r.abun) for r in alone.collect()) == [("a", 10), ("a", 10), ("b", 10)]
 
 
+def test_least_depth(spark):
+    rows = [(a, "1", "w", 1, 21, 1, 0, n, "t", "ACGT") for a, n in (("a", 1), ("a", 2), ("b", 3), ("b", 1))]
+    df = spark.createDataFrame(rows, "alib string, chromosome string, strand string, pos long, len int, hits int, mismatches int, abun long, tag_id string, tag_seq string")
+    depths = lambda **given: sorted((r.alib, r.abun) for r in pipeline.prepared(df, Params(**given)).collect())
+    assert depths() == [("a", 1), ("a", 2), ("b", 1), ("b", 3)]
+    assert depths(min_depth=2) == [("a", 2), ("b", 3)]
+    assert depths(min_depth=2, normalise=True, norm_factor=10) == [("a", 10), ("b", 10)]  # of what is left
+    assert depths(min_depth=3, pooled=True) == [("ALL_LIBS", 3)]
+
+
+def test_absent_alternatives_are_told(spark):
+    names = ("complexity", "strand_bias", "log_clust_len_norm_counts", "ratio_abund_len_phase", "phase_score", "Peak_Howell_score")
+    more = {"Peak_Howell_score_strict": 25.0, "Howell_exact_support_score": 5.0, "Howell_crowding_window_count": 0.0}
+    rows = [(f"i{i}", "l", *(0.1, 0.5, 2.0, 3.0, 200.0 + i, 25.0)) for i in range(6)] + [(f"j{i}", "l", *(0.2, 0.4, 0.1, 0.2, 1.0 + i, 1.0)) for i in range(6)]
+    df = spark.createDataFrame(rows, "identifier string, alib string, " + ", ".join(f"{n} double" for n in names)).withColumns({n: F.lit(v) for n, v in more.items()})
+    df = df.withColumn("Howell_origin_class", F.lit("unique_origin"))
+    with pytest.warns(UserWarning, match="Howell_overlapping_alt_count"):
+        pipeline.calls(df, Params())
+    given = df.withColumns({"Howell_overlapping_alt_count": F.lit(2.0), "Howell_overlapping_alt_best_score": F.lit(10.0)})
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        pipeline.calls(given, Params())
+
+
 def test_legacy_labels(spark):
     names = ("complexity", "strand_bias", "log_clust_len_norm_counts", "ratio_abund_len_phase", "phase_score", "Peak_Howell_score")
     rows = [(f"i{i}", "l", *(0.1, 0.5, 2.0, 3.0, 200.0 + i, 30.0)) for i in range(6)] + [(f"j{i}", "l", *(0.2, 0.4, 0.1, 0.2, 1.0 + i, 1.0)) for i in range(6)]
