@@ -8,6 +8,8 @@ and whether the translation beside it is closed. All statistics are counted over
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ ALIGNED, WELL_ALIGNED = 0.6, 0.8
 #: A field limit: so many different unfinished texts of one size at least, such a share of the source's texts, and so
 #: many times the usual number at the sizes around it; such a share of them must end with a word that ends no text.
 PILE, PILE_SHARE, EXCESS, AROUND, PILE_RARE = 5, 0.02, 8, 15, 0.3
+#: A limit of texts shortened with an ellipsis: the least share of it they have, the different texts there at least,
+#: and the share of them that has ``SHORTENED_TOP`` of it.
+SHORTENED, SHORTENED_LEAST, SHORTENED_TOP, SHORTENED_SHARE = 0.95, 3, 0.98, 0.2
 
 
 def _tail(text: Column, size: int) -> Column:
@@ -108,6 +113,24 @@ def _field_limits(ends: DataFrame, texts: DataFrame, size: str, name: str) -> Da
     return piles.groupBy("src").agg(F.collect_list(size).alias(name))
 
 
+def _elliptic_limits(elliptic: DataFrame) -> DataFrame:
+    """Limits to which a source shortens texts with an ellipsis, as a list per source; copies count once.
+
+    A text is shortened at the limit or a word before it, so a limit is a size down to ``SHORTENED`` of which many more
+    texts lie than in the bands of that width below and above it, some of them right below the size itself. They must
+    also be many more than the source's other texts with an ellipsis would leave there, unless they are many by
+    themselves. Other limits and texts longer or shorter do not matter.
+    """
+    sizes = elliptic.groupBy("src", "chars").agg(F.count_distinct("key").alias("n")).withColumn("lg", F.ln("chars"))
+    width, top = -math.log(SHORTENED) + 1e-9, -math.log(SHORTENED_TOP) + 1e-9
+    within = lambda below, above: F.expr(f"sum(n) over (partition by src order by lg range between {below!r}D preceding and {above!r}D following)")
+    bands = sizes.withColumns({"here": within(width, 0.0), "below": within(2 * width, 0.0), "above": within(0.0, width), "close": within(top, 0.0), "every": F.expr("sum(n) over (partition by src)")})
+    sides = (F.col("below") - F.col("here") + F.col("above") - F.col("n")) / 2
+    usual = (1 - SHORTENED) * (F.col("every") - F.col("here"))
+    enough = (F.col("here") >= SHORTENED_LEAST) & (F.col("here") >= EXCESS * sides) & ((F.col("here") >= EXCESS * usual) | (F.col("here") >= EXCESS))
+    return bands.where(enough & (F.col("close") >= SHORTENED_SHARE * F.col("here"))).groupBy("src").agg(F.collect_list("chars").alias("shortened"))
+
+
 def _at(limits: str, size: str, below: int, above: int) -> Column:
     return F.coalesce(F.exists(F.col(limits), lambda x: F.col(size).between(x - below, x + above)), F.lit(False))
 
@@ -168,10 +191,7 @@ def truncated_texts(
     habits = ends.groupBy("src").agg(F.count(F.lit(1)).alias("texts"))
     likely_end = ~F.col("elliptic") & ~F.col("left_open") & F.col("title").isNull() & (F.col("terminality") >= OFTEN_FINAL)
     leaves_out = scored.where(likely_end & ~F.coalesce("other_marked", F.lit(False))).groupBy("src").agg(F.count(F.lit(1)).alias("unmarked"))
-    spans = ends.where("elliptic").groupBy("src").agg(F.max("chars").alias("longest"))
-    shortened = ends.where("elliptic").join(spans, "src").where(F.col("chars") >= 0.95 * F.col("longest")).groupBy("src").agg(
-        F.count(F.lit(1)).alias("at_end"), F.first("longest").alias("longest")
-    ).where(F.col("at_end") >= 3)
+    shortened = _elliptic_limits(ends.where("elliptic"))
     char_limits = _field_limits(scored, habits, "chars", "char_limits")
     unexplained = scored.join(char_limits, "src", "left").where(~_at("char_limits", "chars", 0, 0))
     byte_limits = _field_limits(unexplained, habits, "bytes", "byte_limits")
@@ -182,7 +202,7 @@ def truncated_texts(
         .join(byte_limits, "src", "left")
         .select(
             "src", (F.coalesce("unmarked", F.lit(0)) / (F.col("texts") + 10) >= MESSAGE_SHARE).alias("messages"),
-            (0.95 * F.col("longest")).alias("shortened_from"), "char_limits", "byte_limits",
+            "shortened", "char_limits", "byte_limits",
         )
     )
 
@@ -195,7 +215,7 @@ def truncated_texts(
     rare = F.col("terminality") < NEVER_FINAL
     evidence = (
         F.when(F.col("copy"), "copy")
-        .when(F.col("elliptic") & (F.col("chars") >= F.col("shortened_from")), "limit")
+        .when(F.col("elliptic") & F.coalesce(F.exists("shortened", lambda x: F.col("chars").between(SHORTENED * x, x)), F.lit(False)), "limit")
         .when(F.col("elliptic"), F.when(rare & ~F.coalesce("other_elliptic", F.lit(False)), "closing_word"))
         .when(F.col("left_open"), "left_open")
         .when(limit, "limit")

@@ -98,6 +98,20 @@ def test_cases(spark):
     assert {r.evidence for r in got if r.is_cut and r.doc_id in range(200, 212)} <= {"limit", "left_open"}
 
 
+def test_limits_of_shortened_texts(spark):
+    # ends are usual closing words, so nothing but the limit speaks; two limits, and one longer text with an ellipsis
+    rows, want = [], set()
+    for i, size in enumerate([80] * 6 + [160] * 8 + [158] * 2 + [300]):
+        base = f"Worker {chr(97 + i)} said".ljust(size - 9, chr(97 + i)) + " mill" + " ..."
+        rows.append((i, base, "s"))
+        want |= {i} if size != 300 else set()
+    rows += [(100 + i, sentence(i, "mill") + ".", "s") for i in range(60)]
+    rows += [(200 + i, f"So said {chr(97 + i)}".ljust(20 + 9 * i, chr(97 + i)) + " mill ...", "spread") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id for r in truncated_texts(df, "doc_id", "text", "source").where("evidence = 'limit'").collect()}
+    assert got == want, (got - want, want - got)
+
+
 def test_without_translation_and_empty(spark):
     rows = [(1, "One sentence.", "s"), (1, "One sentence.", "s"), (2, None, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
