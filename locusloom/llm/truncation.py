@@ -23,7 +23,7 @@ ELLIPSIS = r"(?:…|\.\.\.)"
 NEVER_FINAL, OFTEN_FINAL = 0.001, 0.02
 #: A source leaves closing marks out if at least this share of its texts ends without one at a likely end.
 MESSAGE_SHARE = 0.1
-#: Characters at the end of a text in which its close, and its last word, are looked for. No heading is longer.
+#: Characters at the end of a text in which its close, and its last word, are looked for.
 END, WORD_END = 200, 64
 #: Least align_score with which a pair's other side counts as its translation.
 ALIGNED, WELL_ALIGNED = 0.6, 0.8
@@ -39,10 +39,28 @@ def _tail(text: Column, size: int) -> Column:
     return F.right(text, F.lit(size))
 
 
+def _trimmed(text: Column) -> Column:
+    return F.rtrim(text, F.lit(" \t\r\n\u00a0\u3000\u200b"))
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?:[\s\p{Cf}\p{Z}]|[\p{So}&&[^�]]|\([!?]\))+$", "")
+
+
 def _core(text: Column) -> Column:
-    """The end of the text, as far as it is judged, without white space, symbols such as emoji, and bracketed marks behind it."""
-    end = _tail(F.rtrim(text, F.lit(" \t\r\n\u00a0\u3000\u200b")), END)
-    return F.regexp_replace(end, r"(?:[\s\p{Cf}\p{Z}]|[\p{So}&&[^�]]|\([!?]\))+$", "")
+    """The end of the text, without white space, symbols such as emoji, and bracketed marks behind it.
+
+    These are looked for in the last ``END`` characters, and in the whole text if nothing else is there.
+    """
+    end = _stripped(_tail(_trimmed(text), END))
+    return F.when(end != "", end).otherwise(_tail(_stripped(_trimmed(text)), END))
+
+
+def _whole(text: Column) -> Column:
+    """The whole text, without what :func:`_core` leaves out behind its end."""
+    trimmed = _trimmed(text)
+    end = _stripped(_tail(trimmed, END))
+    return F.when(end != "", F.left(trimmed, F.length(trimmed) - F.least(F.length(trimmed), F.lit(END)) + F.length(end))).otherwise(_stripped(trimmed))
 
 
 def _closed(core: Column) -> Column:
@@ -65,16 +83,16 @@ def _left_open(text: Column, core: Column) -> Column:
     back = F.reverse(F.translate(text, "（）", "()"))
     german = F.instr(text, "„") > 0
     quoted = F.when(german, _after(back, "„", "“") & _after(back, "„", "”")).otherwise(_after(back, "“", "”"))
-    return quoted | _after(back, "(", ")") | _after(back, "«", "»") | core.rlike(r"<[^>]{0,60}$|&#?\w*$|�$")
+    return quoted | _after(back, "(", ")") | _after(back, "«", "»") | _after(back, "<", ">") | core.rlike(r"&#?\w*$|�$")
 
 
 def _title(core: Column) -> Column:
-    """``X – CODE`` or ``X, Name``: the shape of a heading that is whole without a closing mark."""
+    """``X – CODE`` or ``X, Name``: the shape of a heading, looked at as a whole, that is complete without a closing mark."""
     one = rf"[^{TERMINAL}…:“”„«»]"
     name = rf"(?:\p{{IsHan}}{{1,6}}|(?!\p{{IsHan}})[\p{{Lu}}\p{{Lo}}](?:(?!\p{{IsHan}})[\p{{L}}\p{{M}}])+)"
     named = core.rlike(rf"^{one}{{3,}}[,，،]\s?{name}$") & ~core.rlike(r"[,，،].*[,，،]")
     coded = core.rlike(rf"^[^{TERMINAL}]*(?:[–—]|\s-\s).*\p{{Lu}}{{2}}-\d+$") & ~core.rlike(r"[(（][^)）]*$")
-    return F.when(F.length(core) >= END - 1, None).when(coded, "code").when(named, "name")
+    return F.when(coded, "code").when(named, "name")
 
 
 def closing_word(core: Column) -> Column:
@@ -155,14 +173,15 @@ def truncated_texts(
         (F.col(other) if other else blank).alias("other"), (F.col(other_score) if other_score else F.lit(None).cast("double")).alias("fit"),
     )
     core, side = _core(F.col("text")), _core(F.col("other"))
+    asks = ~_closed(core)  # the whole text is looked at for these rows alone
     ends = saved(rows.where(F.length(core) > 0).select(
         "doc_id", "source", F.coalesce("source", F.lit("")).alias("src"), F.md5(F.col("text")).alias("key"),
         F.length("text").alias("chars"), F.octet_length("text").alias("bytes"),
-        _closed(core).alias("closed"), _elliptic(core).alias("elliptic"), _left_open(F.col("text"), core).alias("left_open"),
-        _title(core).alias("title"), closing_word(F.regexp_replace(core, rf"{ELLIPSIS}[{CLOSERS}\s]*$", "")).alias("word"),
+        _closed(core).alias("closed"), _elliptic(core).alias("elliptic"), F.when(asks, _left_open(F.col("text"), core)).otherwise(False).alias("left_open"),
+        F.when(asks, _title(_whole(F.col("text")))).alias("title"), closing_word(F.regexp_replace(core, rf"{ELLIPSIS}[{CLOSERS}\s]*$", "")).alias("word"),
         _before_last_comma(core).alias("comma_word"),
         F.when(F.length(side) > 0, _closed(side)).alias("other_closed"), _elliptic(side).alias("other_elliptic"),
-        side.rlike(rf"[{TERMINAL}]$").alias("other_marked"), _title(side).alias("other_title"),
+        side.rlike(rf"[{TERMINAL}]$").alias("other_marked"), F.when(asks, _title(_whole(F.col("other")))).alias("other_title"),
         core.rlike(r"\p{Lu}{2}-\d+$").alias("ends_in_code"), core.rlike(r"[,，،]\s?(?:\S+\s+){0,4}[\p{Lu}\p{Lo}][\p{L}\p{M}]*$").alias("ends_in_name"), "fit",
     ), "text-ends")
 

@@ -98,6 +98,19 @@ def test_cases(spark):
     assert {r.evidence for r in got if r.is_cut and r.doc_id in range(200, 212)} <= {"limit", "left_open"}
 
 
+def test_whole_texts_are_looked_at(spark):
+    long = "The old mill near the river and the market " * 6
+    rows = [
+        (1, long + "– AB-1234", "closes", False), (2, "See <a href='" + "x" * 90, "closes", True), (3, "All is well. " + "🙂" * 250, "closes", False),
+        (4, "They went to the" + " 🙂" * 250, "closes", True), (5, long + "<b>bold</b> – AB-1234", "closes", False), (6, "🙂" * 250, "closes", None),
+    ]
+    rows += [(100 + i, sentence(i, "mill") + ".", "closes", False) for i in range(40)]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in truncated_texts(df, "doc_id", "text", "source").collect()}
+    assert {i: got[i].is_cut if i in got else None for i in range(1, 7)} == {r[0]: r[3] for r in rows[:6]}
+    assert got[2].evidence == "left_open"
+
+
 def test_limits_of_shortened_texts(spark):
     # ends are usual closing words, so nothing but the limit speaks; two limits, and one longer text with an ellipsis
     rows, want = [], set()
