@@ -60,6 +60,14 @@ def s9_sam_alignments(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("chromosome", "strand", "pos", "len").agg(F.count(F.lit(1)).alias("n"), F.sum("abun").alias("abun"), F.max("hits").alias("hits"))
 
 
+def s9_sam_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Alignment lines of all reads, without mismatches, read back under the default limit of hits, by position."""
+    rows = reads(spark, d).where("tag_seq is not null and abun is not null and hits is not null and strand is not null and tag_id is not null")
+    lines = SK.sam_lines(rows, F.concat("tag_id", F.lit("|"), F.col("abun").cast("string")), F.lit(0))
+    kept = AL.usable_alignments(AL.parse_sam(lines))
+    return kept.groupBy("chromosome", "strand", "pos", "len").agg(F.count(F.lit(1)).alias("n"), F.sum("abun").alias("abun"), F.max("hits").alias("hits"))
+
+
 def s10_cluster_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Candidate-cluster blocks of the reads, read back, by cluster."""
     rows = reads(spark, d).where("clusterID is not null")
@@ -97,7 +105,7 @@ def m1_contig_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (s1_tag_counts, s2_fasta_reads, s3_fastq_reads, s4_counted_fasta, s7_reference, s9_sam_alignments, s10_cluster_blocks, s13_annotation, s17_id_map, k10_expanded_copies, m1_contig_numbers)
+    for f in (s1_tag_counts, s2_fasta_reads, s3_fastq_reads, s4_counted_fasta, s7_reference, s9_sam_alignments, s9_sam_round_trip, s10_cluster_blocks, s13_annotation, s17_id_map, k10_expanded_copies, m1_contig_numbers)
 }
 
 _TAGS = f"{READS}, tags AS (SELECT tag_seq, CAST(sum(abun) AS BIGINT) AS abun FROM reads WHERE tag_seq IS NOT NULL AND abun IS NOT NULL GROUP BY 1)"
@@ -113,6 +121,8 @@ SELECT s AS tag_seq, count(*) AS abun FROM c WHERE regexp_full_match(s, '[ACGT]*
 SELECT old_id, CAST(length(q) AS INT) AS len, md5(q) AS digest FROM t WHERE length(q) > 200""",
     "s9_sam_alignments": f"""WITH {READS} SELECT chromosome, strand, pos, CAST(length(tag_seq) AS INT) AS len, count(*) AS n, CAST(sum(abun) AS BIGINT) AS abun, max(hits) AS hits FROM reads
 WHERE tag_seq IS NOT NULL AND abun IS NOT NULL AND hits < 5 AND hits % 2 = 0 AND strand IS NOT NULL AND tag_id IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "s9_sam_round_trip": f"""WITH {READS} SELECT chromosome, strand, pos, CAST(length(tag_seq) AS INT) AS len, count(*) AS n, CAST(sum(abun) AS BIGINT) AS abun, max(hits) AS hits FROM reads
+WHERE tag_seq IS NOT NULL AND abun IS NOT NULL AND hits < 25 AND strand IS NOT NULL AND tag_id IS NOT NULL GROUP BY 1, 2, 3, 4""",
     "s10_cluster_blocks": f"""WITH {READS} SELECT clusterID, count(*) AS n, CAST(sum(abun) AS BIGINT) AS abun, max(pos) AS "last", round(sum(CASE WHEN pval_corr_f IS NOT NULL AND NOT isnan(pval_corr_f) THEN pval_corr_f ELSE 0 END), 6) AS p
 FROM reads WHERE clusterID IS NOT NULL GROUP BY 1""",
     "s13_annotation": """SELECT DISTINCT chromosome, "start" - 1 AS "start", "end", identifier AS name FROM locus WHERE "start" IS NOT NULL AND "end" IS NOT NULL AND chromosome IS NOT NULL AND identifier IS NOT NULL""",

@@ -1,15 +1,21 @@
 import gzip
+import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from locusloom.functions.sequences import read_verdict
+from locusloom.plans.common import reads
+from locusloom.plans.sources import QUERIES
 from locusloom.sources import alignments as AL
 from locusloom.sources import reads as RD
 from locusloom.sources import sinks as SK
 from locusloom.sources.lines import numbered_lines
 
+DATA = Path(os.environ.get("LOCUSLOOM_TEST_DATA", "/root/testdata/sf0.001"))
+
 
 def fastq(seqs):
     return "".join(f"@r{i}\n{s}\n+\n{'I' * len(s)}\n" for i, s in enumerate(seqs))
@@ -73,6 +79,22 @@ def test_sam_fields(spark):
     assert AL.usable_alignments(got).count() == 1
 
 
+def test_mismatch_and_hit_limits(spark):
+    rows = [(h, m) for h in (1, 2, 3, 24, 25) for m in (0, 1, 2)]
+    df = spark.createDataFrame(rows, "hits int, mismatches int")
+    kept = lambda *limits: sorted((r.hits, r.mismatches) for r in AL.usable_alignments(df, *limits).collect())
+    assert kept() == [(1, 0), (2, 0), (3, 0), (24, 0)]
+    assert kept(3, 1) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
+def test_sam_reads_the_whole_table_back(spark):
+    every = reads(spark, str(DATA)).where("tag_seq is not null and abun is not null and hits is not null and strand is not null and tag_id is not null")
+    want = every.agg(F.count(F.lit(1)), F.sum("abun"), F.max("hits")).head()
+    got = QUERIES["s9_sam_round_trip"](spark, str(DATA)).agg(F.sum("n"), F.sum("abun"), F.max("hits")).head()
+    assert every.where("hits % 2 = 1").count() > 0 and tuple(got) == tuple(want)
+
+
 def test_annotations(spark):
     gff = [("#x",), ("1\ts\tg\t11\t20\t.\t+\t.\tID=a;Name=b",), ("1\ts\tg\tx\t20\t.\t+\t.\tID=a",), ('2\ts\tg\t5\t6\t.\t+\t.\tgene_id "q"; x "y"',)]
     assert [tuple(r) for r in AL.parse_annotation(spark.createDataFrame(gff, "value string"), "gff").collect()] == [("1", 10, 20, "a"), ("2", 4, 6, "q")]
