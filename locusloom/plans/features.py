@@ -131,6 +131,14 @@ def v2_abundance_cells(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def v3_total_abundance_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Total abundance (logarithm, 0 as the least) of all cells, PHAS or not; that of a PHAS cell is of its PHAS rows."""
+    rows = _report(spark, d)
+    total, phas = F.coalesce(known(F.col("total_abund")), F.lit(0.0)), F.col("final_class") == "PHAS"
+    value = F.log10(F.when(total > 0, total).otherwise(1e-10))
+    return rows.groupBy("identifier", "alib").agg(F.coalesce(F.bool_or(phas), F.lit(False)).alias("is_phas"), F.round(F.coalesce(F.max(F.when(phas, value)), F.max(value)), 9).alias("log_total"))
+
+
 def v4_peak_cells(spark: SparkSession, d: str) -> DataFrame:
     """Peak scores, relaxed and strict, with the PHAS mask."""
     rows = _report(spark, d)
@@ -161,7 +169,7 @@ QUERIES = {
     for f in (
         a13_cluster_features, a14_phase_positions, w8_best_rows, w9_longest_empty_run, j4_identifiers, j6_feature_scores, f10_filtered_labels,
         f11_evidence, j11_overrides, n13_mixture_labels, a16_mixture_means, a17_detections, a22_pooled, a25_scaled, k6_gff_lines,
-        v1_report_cells, v2_abundance_cells, v4_peak_cells, v5_abundance_track, f13_plot_sources,
+        v1_report_cells, v2_abundance_cells, v3_total_abundance_cells, v4_peak_cells, v5_abundance_track, f13_plot_sources,
     )
 }
 
@@ -216,6 +224,8 @@ SELECT identifier, concat_ws(chr(9), split_part(identifier, ':', 1), 'locusloom'
     "v1_report_cells": f"WITH {_REPORT} SELECT identifier, alib, min(CASE final_class WHEN 'PHAS' THEN 2 ELSE 1 END) AS cell FROM rep GROUP BY 1, 2",
     "v2_abundance_cells": f"""WITH {_REPORT} SELECT identifier, alib, max({_N('log_clust_len_norm_counts')}) AS clnc,
 round(max(log10(CASE WHEN coalesce({_N('total_abund')}, 0) > 0 THEN total_abund ELSE 1e-10 END)), 9) AS log_total FROM rep WHERE final_class = 'PHAS' GROUP BY 1, 2""",
+    "v3_total_abundance_cells": f"""WITH {_REPORT}, t AS (SELECT *, log10(CASE WHEN coalesce({_N('total_abund')}, 0) > 0 THEN total_abund ELSE 1e-10 END) AS v FROM rep)
+SELECT identifier, alib, coalesce(bool_or(final_class = 'PHAS'), false) AS is_phas, round(coalesce(max(v) FILTER (WHERE final_class = 'PHAS'), max(v)), 9) AS log_total FROM t GROUP BY 1, 2""",
     "v4_peak_cells": f"WITH {_REPORT} SELECT identifier, alib, max({_N('Peak_Howell_score')}) AS peak, max({_N('Peak_Howell_score_strict')}) AS strict, bool_or(final_class = 'PHAS') AS is_phas FROM rep GROUP BY 1, 2",
     "v5_abundance_track": f"""WITH {READS} SELECT clusterID, pos, strand, len, CAST(sum(CASE strand WHEN 'w' THEN abun ELSE -abun END) AS BIGINT) AS y, coalesce(bool_or(hits > 1), false) AS multi
 FROM reads WHERE clusterID IS NOT NULL AND strand IS NOT NULL AND abun IS NOT NULL GROUP BY 1, 2, 3, 4""",

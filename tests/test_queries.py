@@ -49,3 +49,10 @@ def test_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
 def test_runs(spark, name):
     assert registry.QUERIES[name](spark, str(DATA)).count() >= 0
+
+
+def test_total_abundance_has_all_cells(spark):
+    cells = lambda name: {(r.identifier, r.alib): r for r in registry.QUERIES[name](spark, str(DATA)).collect()}
+    every, phas, report = cells("v3_total_abundance_cells"), cells("v2_abundance_cells"), cells("v1_report_cells")
+    assert every.keys() == report.keys() and {k for k, r in every.items() if r.is_phas} == phas.keys() <= every.keys()
+    assert all(every[k].log_total == r.log_total for k, r in phas.items())
