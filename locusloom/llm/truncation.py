@@ -1,9 +1,10 @@
 """Texts that were cut off before their end.
 
-Near-copies are found by min-hash banding and aligned; a copy whose alignment ends early was cut. The other texts are
-scored by how they close: whether the closing word is one that ends sentences in this corpus (terminality), whether a
-bracket, quotation or markup is left open, whether the length is one at which the source's unfinished texts pile up,
-and whether the translation beside it is closed. All statistics are counted over all rows.
+Near-copies are found by min-hash bands over prefixes and aligned; a copy whose alignment ends early was cut. The other
+texts are scored by how they close: whether the closing word is one that ends sentences in this corpus (terminality),
+whether texts that close in such a shape are usually whole, whether a bracket, quotation or markup is left open, whether
+the length is one at which the source's unfinished texts pile up, and whether the translation beside it is closed. All
+texts are looked at as a whole, and all statistics are counted over all rows.
 """
 
 from __future__ import annotations
@@ -13,18 +14,23 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusloom.llm.nearcopies import WORD, cut_copies
+from locusloom.llm.endings import BY_KIND, BY_MARK, CAPITAL, END_COLUMNS, USES, end_measures, word_uses
+from locusloom.llm.nearcopies import cut_copies
 from locusloom.session import saved
 
-#: Marks that end a sentence, and marks that may close after them.
-TERMINAL, CLOSERS = ".?!।。！？؟", "”\"»“’)）』」"
-ELLIPSIS = r"(?:…|\.\.\.)"
 #: Below this share of sentence-final uses a word does not end a text; above the second, it is usual at an end.
 NEVER_FINAL, OFTEN_FINAL = 0.001, 0.02
 #: A source leaves closing marks out if at least this share of its texts ends without one at a likely end.
 MESSAGE_SHARE = 0.1
-#: Characters at the end of a text in which its close, and its last word, are looked for.
-END, WORD_END = 200, 64
+#: Of well-paired texts that close in a shape, at most such a share has a closed translation if the shape is that of a
+#: whole text; beside a translation that closes in such a shape itself, the second share does. Below the third share a
+#: closed translation speaks for a cut only if it is surely the text's own.
+HEADING, HEADING_BESIDE, HEADING_SURE = 0.2, 0.5, 0.1
+#: A source leaves closing marks out if at least this share of its texts ends without one at a likely end.
+MESSAGE_SHARE = 0.1
+#: Of well-paired texts that close in a shape, at most such a share has a closed translation if the shape is that of a
+#: whole text; beside a translation that closes in such a shape itself, the second share does.
+HEADING, HEADING_BESIDE = 0.25, 0.5
 #: Least align_score with which a pair's other side counts as its translation.
 ALIGNED, WELL_ALIGNED = 0.6, 0.8
 #: A field limit: so many different unfinished texts of one size at least, such a share of the source's texts, and so
@@ -35,94 +41,20 @@ PILE, PILE_SHARE, EXCESS, AROUND, PILE_RARE = 5, 0.02, 8, 15, 0.3
 SHORTENED, SHORTENED_LEAST, SHORTENED_TOP, SHORTENED_SHARE = 0.95, 3, 0.98, 0.2
 
 
-def _tail(text: Column, size: int) -> Column:
-    return F.right(text, F.lit(size))
-
-
-def _trimmed(text: Column) -> Column:
-    return F.rtrim(text, F.lit(" \t\r\n\u00a0\u3000\u200b"))
-
-
-def _stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?:[\s\p{Cf}\p{Z}]|[\p{So}&&[^�]]|\([!?]\))+$", "")
-
-
-def _core(text: Column) -> Column:
-    """The end of the text, without white space, symbols such as emoji, and bracketed marks behind it.
+def _headings(unclosed: DataFrame) -> DataFrame:
+    """``shape`` and ``beside_closed``: of unclosed texts with a well-paired translation, the share whose translation is closed.
 
-    These are looked for in the last ``END`` characters, and in the whole text if nothing else is there.
+    The translation of a cut text is closed as a rule, that of headings and other texts that are whole without a mark
+    hardly ever. One pair of each kind is added to the counts, so that few pairs show nothing.
     """
-    end = _stripped(_tail(_trimmed(text), END))
-    return F.when(end != "", end).otherwise(_tail(_stripped(_trimmed(text)), END))
-
-
-def _whole(text: Column) -> Column:
-    """The whole text, without what :func:`_core` leaves out behind its end."""
-    trimmed = _trimmed(text)
-    end = _stripped(_tail(trimmed, END))
-    return F.when(end != "", F.left(trimmed, F.length(trimmed) - F.least(F.length(trimmed), F.lit(END)) + F.length(end))).otherwise(_stripped(trimmed))
-
-
-def _closed(core: Column) -> Column:
-    initial = core.rlike(r"(?:^|[^\p{L}\p{M}])\p{Lu}\.$")
-    return core.rlike(rf"[{TERMINAL}][{CLOSERS}\s]*$") & ~initial & ~_elliptic(core)
-
-
-def _elliptic(core: Column) -> Column:
-    return core.rlike(rf"{ELLIPSIS}[{CLOSERS}\s]*$")
-
-
-def _after(backwards: Column, opened: str, closed: str) -> Column:
-    """True if, of both marks, the opening one stands last; looked up from the end of the whole text."""
-    a, b = F.instr(backwards, opened), F.instr(backwards, closed)
-    return (a > 0) & ((b == 0) | (a < b))
-
-
-def _left_open(text: Column, core: Column) -> Column:
-    """A bracket, quotation, tag or entity that begins and does not end, or a character cut into."""
-    back = F.reverse(F.translate(text, "（）", "()"))
-    german = F.instr(text, "„") > 0
-    quoted = F.when(german, _after(back, "„", "“") & _after(back, "„", "”")).otherwise(_after(back, "“", "”"))
-    return quoted | _after(back, "(", ")") | _after(back, "«", "»") | _after(back, "<", ">") | core.rlike(r"&#?\w*$|�$")
-
-
-def _title(core: Column) -> Column:
-    """``X – CODE`` or ``X, Name``: the shape of a heading, looked at as a whole, that is complete without a closing mark."""
-    one = rf"[^{TERMINAL}…:“”„«»]"
-    name = rf"(?:\p{{IsHan}}{{1,6}}|(?!\p{{IsHan}})[\p{{Lu}}\p{{Lo}}](?:(?!\p{{IsHan}})[\p{{L}}\p{{M}}])+)"
-    named = core.rlike(rf"^{one}{{3,}}[,，،]\s?{name}$") & ~core.rlike(r"[,，،].*[,，،]")
-    coded = core.rlike(rf"^[^{TERMINAL}]*(?:[–—]|\s-\s).*\p{{Lu}}{{2}}-\d+$") & ~core.rlike(r"[(（][^)）]*$")
-    return F.when(coded, "code").when(named, "name")
-
-
-def closing_word(core: Column) -> Column:
-    """The last word, in lower case; numbers are one word."""
-    last = F.lower(F.regexp_extract(_tail(core, WORD_END), rf"({WORD})[^\p{{L}}\p{{M}}\p{{N}}]*$", 1))
-    return F.when(last.rlike(r"^\p{N}"), "#").when(last != "", last)
-
-
-def _before_last_comma(core: Column) -> Column:
-    return closing_word(F.regexp_extract(core, r"^(.*)[,，،][^,，،]*$", 1))
-
-
-def word_ends(texts: DataFrame, text: str) -> DataFrame:
-    """``word``, ``ends`` and ``goes_on``: how often each word stands before a closing mark, and before another word.
-
-    The words with the marks behind them are counted as they are first, so the shuffle holds one row per distinct form
-    and task; only distinct forms are split. A word that ends the text without a mark counts as neither.
-    """
-    form = rf"(?:{WORD})(?:\s?[{CLOSERS}])*(?:\s?[{TERMINAL}…]|\s*$)?"
-    forms = texts.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(form), F.lit(0))).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
-    initial = F.col("form").rlike(r"^\p{Lu}\.\s*$")
-    marked = F.col("form").rlike(rf"[{TERMINAL}…]$") & ~initial
-    split = forms.select(closing_word(F.col("form")).alias("word"), "n", marked.alias("ends"), (~marked & ~F.col("form").rlike(r"\s$")).alias("goes_on"))
-    return split.groupBy("word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(F.col("goes_on"), F.col("n")).otherwise(0)).alias("goes_on"))
+    paired = unclosed.where((F.col("fit") >= ALIGNED) & F.col("other_closed").isNotNull() & ~F.col("elliptic") & ~F.col("left_open"))
+    return paired.groupBy("shape").agg(((F.count_if("other_closed") + 1) / (F.count(F.lit(1)) + 2)).alias("beside_closed"))
 
 
 def _field_limits(ends: DataFrame, texts: DataFrame, size: str, name: str) -> DataFrame:
     """Sizes at which a source's unfinished texts pile up, as a list per source; copies count once."""
     near = Window.partitionBy("src").orderBy(F.col(size)).rangeBetween(-AROUND, AROUND)
-    once = ends.where("title is null").groupBy("src", size, "key").agg(F.min("terminality").alias("terminality"))
+    once = ends.where("not heading").groupBy("src", size, "key").agg(F.min("terminality").alias("terminality"))
     counted = once.groupBy("src", size).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("terminality") < NEVER_FINAL).alias("rare"))
     others = (F.sum("n").over(near) - F.col("n")) / (2 * AROUND)
     piles = counted.withColumn("others", others).join(texts, "src")
@@ -160,55 +92,41 @@ def truncated_texts(
 
     ``evidence`` names what decided: ``copy``, ``left_open``, ``limit``, ``closing_word``, ``translation`` or
     ``unclosed`` for texts that were cut, else null. ``other`` is the translation of the text, if there is one, and
-    ``other_score`` how well both fit. Null, empty and blank texts give no row. A text that ends behind a complete
-    sentence is never cut, nor is a title that is whole without a mark. A null source is a source of its own. Exact
-    copies share one search for near-copies. Other columns of ``docs`` do not matter.
+    ``other_score`` how well both fit. Null, empty and blank texts, and texts of symbols alone, give no row. A text that
+    ends behind a complete sentence is never cut, nor is a heading that is whole without a mark. A null source is a
+    source of its own. Exact copies share one search for near-copies. Other columns of ``docs`` do not matter.
 
-    The measures of the text ends, without the texts, and those of the unclosed ones are written to the shared
-    checkpoint folder, as several statistics read them.
+    The measures of the text ends, without the texts, those of the unclosed ones and the distinct texts are written to
+    the shared checkpoint folder, as several steps read them.
     """
     blank = F.lit(None).cast("string")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"),
-        (F.col(other) if other else blank).alias("other"), (F.col(other_score) if other_score else F.lit(None).cast("double")).alias("fit"),
+        (F.col(other) if other else blank).alias("other"), (F.col(other_score) if other_score else F.lit(None)).cast("double").alias("fit"),
     )
-    core, side = _core(F.col("text")), _core(F.col("other"))
-    asks = ~_closed(core)  # the whole text is looked at for these rows alone
-    ends = saved(rows.where(F.length(core) > 0).select(
-        "doc_id", "source", F.coalesce("source", F.lit("")).alias("src"), F.md5(F.col("text")).alias("key"),
-        F.length("text").alias("chars"), F.octet_length("text").alias("bytes"),
-        _closed(core).alias("closed"), _elliptic(core).alias("elliptic"), F.when(asks, _left_open(F.col("text"), core)).otherwise(False).alias("left_open"),
-        F.when(asks, _title(_whole(F.col("text")))).alias("title"), closing_word(F.regexp_replace(core, rf"{ELLIPSIS}[{CLOSERS}\s]*$", "")).alias("word"),
-        _before_last_comma(core).alias("comma_word"),
-        F.when(F.length(side) > 0, _closed(side)).alias("other_closed"), _elliptic(side).alias("other_elliptic"),
-        side.rlike(rf"[{TERMINAL}]$").alias("other_marked"), F.when(asks, _title(_whole(F.col("other")))).alias("other_title"),
-        core.rlike(r"\p{Lu}{2}-\d+$").alias("ends_in_code"), core.rlike(r"[,，،]\s?(?:\S+\s+){0,4}[\p{Lu}\p{Lo}][\p{L}\p{M}]*$").alias("ends_in_name"), "fit",
-    ), "text-ends")
+    asked = rows.select("doc_id", "source", F.unhex(F.md5("text")).alias("key"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "fit", "text", "other")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema[:-2]) + ", " + ", ".join(f"{n} {t}" for n, t in END_COLUMNS.items())
+    ends = saved(asked.mapInArrow(end_measures, kept).where("has_end").withColumn("src", F.coalesce("source", F.lit(""))), "text-ends")
 
     # how often each closing word ends a sentence in the corpus, on either side
-    both = rows.select(F.explode(F.array("text", "other")).alias("t")).where("t is not null")
-    terminal = saved(word_ends(both, "t").select("word", F.try_divide(F.col("ends"), F.col("ends") + F.col("goes_on")).alias("terminality")), "word-ends")
-    asked = ends.where("not closed")
-    # a heading by its own shape, where something speaks for a name behind its comma, or by the heading beside it
-    open_side = ~F.coalesce(F.col("other_closed"), F.lit(False))
-    title = (
-        F.when(F.col("title") == "code", "code")
-        .when((F.col("other_title") == "code") & F.col("ends_in_code"), "code")
-        .when((F.col("title") == "name") & (open_side | (F.col("comma_terminality") >= OFTEN_FINAL)), "name")
-        .when((F.col("other_title") == "name") & F.col("ends_in_name"), "name")
-    )
+    uses = rows.select("text", "other").mapInArrow(word_uses, USES).groupBy("word").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
+    terminal = uses.select("word", F.try_divide(F.col("ends"), F.col("ends") + F.col("goes_on")).alias("terminality"))
+    unclosed = ends.where("not closed")
+    words = terminal.join(unclosed.select("word").distinct(), "word", "left_semi")
+    shapes = _headings(unclosed)
+    beside = shapes.where(F.col("beside_closed") <= HEADING).select(F.col("shape").alias("other_shape"), F.lit(True).alias("other_heading"))
+    alike = F.coalesce(F.col("other_heading") & ~F.col("other_closed"), F.lit(False))
+    capital = F.floor(F.col("shape") / BY_KIND) % (BY_MARK // BY_KIND) == CAPITAL
+    heading = (F.col("beside_closed") <= HEADING) | (alike & ((F.col("beside_closed") <= HEADING_BESIDE) | capital))
     scored = saved(
-        asked.join(terminal, "word", "left")
-        .join(terminal.select(F.col("word").alias("comma_word"), F.col("terminality").alias("comma_terminality")), "comma_word", "left")
-        .withColumn("terminality", F.coalesce("terminality", F.lit(0.0)))
-        .withColumn("comma_terminality", F.coalesce("comma_terminality", F.lit(0.0)))
-        .withColumn("title", title),
+        unclosed.join(words, "word", "left").join(shapes, "shape", "left").join(beside, "other_shape", "left")
+        .withColumns({"terminality": F.coalesce("terminality", F.lit(0.0)), "heading": F.coalesce(heading, F.lit(False))}),
         "unclosed-texts",
     )
 
     # what each source does at the end of its texts
     habits = ends.groupBy("src").agg(F.count(F.lit(1)).alias("texts"))
-    likely_end = ~F.col("elliptic") & ~F.col("left_open") & F.col("title").isNull() & (F.col("terminality") >= OFTEN_FINAL)
+    likely_end = ~F.col("elliptic") & ~F.col("left_open") & ~F.col("heading") & (F.col("terminality") >= OFTEN_FINAL)
     leaves_out = scored.where(likely_end & ~F.coalesce("other_marked", F.lit(False))).groupBy("src").agg(F.count(F.lit(1)).alias("unmarked"))
     shortened = _elliptic_limits(ends.where("elliptic"))
     char_limits = _field_limits(scored, habits, "chars", "char_limits")
@@ -225,12 +143,13 @@ def truncated_texts(
         )
     )
 
-    texts = rows.where(F.length(core) > 0).groupBy(F.md5(F.col("text")).alias("key")).agg(F.first("text").alias("text"))
-    copies = cut_copies(texts, "key", "text", ~_closed(_core(F.col("text")))).withColumn("copy", F.lit(True))
+    texts = saved(rows.where("text is not null").select(F.unhex(F.md5("text")).alias("key"), "text").distinct(), "texts")
+    copies = cut_copies(texts).withColumn("copy", F.lit(True))
 
     limit = _at("char_limits", "chars", 0, 0) | _at("byte_limits", "bytes", 3, 2)
     translated = F.coalesce(F.col("other_marked") & (F.col("fit") >= ALIGNED), F.lit(False))
     surely = F.coalesce(F.col("other_closed") & (F.col("fit") >= WELL_ALIGNED), F.lit(False))
+    paired = F.coalesce(F.col("other_closed") & (F.col("fit") >= (ALIGNED + WELL_ALIGNED) / 2), F.lit(False))
     rare = F.col("terminality") < NEVER_FINAL
     evidence = (
         F.when(F.col("copy"), "copy")
@@ -238,8 +157,7 @@ def truncated_texts(
         .when(F.col("elliptic"), F.when(rare & ~F.coalesce("other_elliptic", F.lit(False)), "closing_word"))
         .when(F.col("left_open"), "left_open")
         .when(limit, "limit")
-        .when(F.col("title") == "code", None)
-        .when(F.col("title") == "name", F.when(surely, "translation"))
+        .when(F.col("heading"), F.when(surely | (paired & (F.col("beside_closed") > HEADING_SURE)), "translation"))
         .when(rare, "closing_word")
         .when(F.col("messages"), F.when(translated, "translation"))
         .otherwise("unclosed")
