@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
+#: Parts of a group that are cut on their own first.
+PARTS = 16
+
+
 def _present(df: DataFrame, name: str) -> Column:
     ok = F.col(name).isNotNull()
     return ok & ~F.isnan(name) if isinstance(df.schema[name].dataType, (DoubleType, FloatType)) else ok
@@ -23,13 +27,18 @@ def top_n_per_group(df: DataFrame, group: Column, item: Column, score: Column, n
     and an empty table give no rows. Only the picked expressions leave the scan, so other columns and their names do
     not matter.
 
-    The repeats go in a map-side combined aggregation spread over all its columns, so neither a large group nor a much
-    repeated row gathers in one task. The rank filter on ``row_number`` lets the optimiser put its group limit on both
-    sides of the shuffle by group: at most ``n`` rows of a group leave a task, however large the group is.
+    Three steps. First each part of a group, as the tasks hold it, keeps its ``n`` first distinct values (a dense rank in
+    ``PARTS`` parts of every group, of which a task feeds one), so a large group shrinks before it is shuffled. Then the
+    repeats go in a map-side combined aggregation spread over all columns, so not even a much repeated row gathers in one
+    task. At last the rank filter on ``row_number`` cuts the group; the optimiser puts its group limit on both sides of
+    both shuffles by group.
     """
     ties = [f"__tie_{i}" for i in range(len(tie))]
     picked = df.select(group.alias("group_key"), item.alias("item_key"), score.alias("score"), *(c.alias(t) for c, t in zip(tie, ties)))
-    rows = picked.where(_present(picked, "group_key") & _present(picked, "item_key") & _present(picked, "score")).distinct()
+    rows = picked.where(_present(picked, "group_key") & _present(picked, "item_key") & _present(picked, "score"))
     best = F.col("score").desc() if descending else F.col("score").asc()
-    order = Window.partitionBy("group_key").orderBy(best, *ties, "item_key")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop(*ties)
+    order = (best, *ties, "item_key")
+    part = Window.partitionBy("group_key", "__part").orderBy(*order)
+    first = rows.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(PARTS))).withColumn("rank", F.dense_rank().over(part)).where(F.col("rank") <= n)
+    rows = first.drop("rank", "__part").distinct()
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("group_key").orderBy(*order))).where(F.col("rank") <= n).drop(*ties)
