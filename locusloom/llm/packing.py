@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from locusloom.session import saved
 
 WEIGHTS = (1.0, 0.1, 0.2)
+#: Copies of one row that a task makes at a time, and the tasks over which the shards are spread at most.
+COPIES, MOST_TASKS = 10_000, 20_000
 SCHEMA = "shard int, doc_id {id}, copy long, piece_no int, start_token long, n_tokens int, bin int, used int"
 
 
@@ -18,7 +20,8 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: int, ru
 
     A bin has three residual capacities: tokens, items and attention cost (the sum of squared sizes). Of the bins in
     which all three suffice, ``norm`` takes the one whose residuals, weighted, have the least norm behind the item,
-    and ``dot`` the one with the largest weighted dot-product of item and residuals; without one a new bin opens.
+    and ``dot`` the one with the largest weighted dot-product of item and residuals; without one a new bin opens. An item
+    that alone costs more than ``max_cost`` has a bin of its own, which takes nothing else.
     """
     limits = np.array([capacity, max_items, max_cost], float)
     weights = np.array(WEIGHTS)
@@ -42,7 +45,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: int, ru
             count += 1
         rest[k] -= need
         numbers[i] = names[k]
-        if rest[k, 0] * capacity < least - 0.5 or rest[k, 1] * max_items < 0.5:  # nothing fits any more
+        if rest[k, 0] * capacity < least - 0.5 or rest[k, 1] * max_items < 0.5 or rest[k, 2] * max_cost < least * least - 0.5:  # nothing fits any more
             count -= 1
             rest[k], names[k] = rest[count], names[count]
     return numbers
@@ -59,16 +62,24 @@ def _pack_shard(capacity: int, max_items: int, max_cost: int, rule: str):
     return run
 
 
+def _numbered(items: DataFrame) -> DataFrame:
+    """Each row ``n`` times, with its ``copy`` 1 to n; rows repeated very often are divided over tasks first."""
+    few = items.where(F.col("n") <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    many = items.where(F.col("n") > COPIES).withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"), F.lit(COPIES).cast("long")))).repartition("doc_id", "from")
+    return few.unionByName(many.withColumn("copy", F.explode(F.sequence("from", F.least("n", F.col("from") + (COPIES - 1))))).drop("from"))
+
+
 def pack(
     df: DataFrame, doc_id: str, size: str, capacity: int, max_items: int = 256, max_cost: int | None = None,
     rule: str = "norm", shard_items: int = 20_000, full: float = 0.98, rounds: int = 3,
 ) -> DataFrame:
     """``container_id``, ``doc_id``, ``piece_no``, ``start_token`` and ``n_tokens``: one row per placed piece.
 
-    Every container keeps to ``capacity`` tokens, ``max_items`` pieces and ``max_cost`` (sum of squared piece sizes,
-    ``capacity`` squared unless given, and not less, so that every single piece fits). An item is divided only if it
-    alone exceeds the capacity: in pieces of the full capacity and a rest. An item of size 0 takes a place and no
-    space; a null or negative size gives no row. Repeated rows are items of their own. Empty input gives no rows.
+    Every container keeps to ``capacity`` tokens, ``max_items`` pieces and ``max_cost``, the sum of squared piece sizes
+    that attention costs (``capacity`` squared unless given, which never binds). A piece that alone costs more stands
+    alone. An item is divided only if it alone exceeds the capacity: in pieces of the full capacity and a rest. An item
+    of size 0 takes a place and no space; a null or negative size gives no row. Repeated rows are items of their own.
+    Empty input gives no rows.
 
     Items are spread by hash over shards of about ``shard_items``, so no task sees more than that, whatever the table
     holds. Containers filled to less than ``full`` are taken apart and their items packed again in fewer shards, which
@@ -76,11 +87,11 @@ def pack(
     exactly.
     """
     max_cost = capacity * capacity if max_cost is None else max_cost
-    if capacity < 1 or max_items < 1 or max_cost < capacity * capacity:
-        raise ValueError("capacity and max_items must be positive, max_cost at least the squared capacity")
+    if capacity < 1 or max_items < 1 or max_cost < 1:
+        raise ValueError("capacity, max_items and max_cost must be positive")
     kind = df.schema[doc_id].dataType.simpleString()
     items = df.select(F.col(doc_id).alias("doc_id"), F.col(size).cast("long").alias("size")).where("size >= 0")
-    items = items.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1), "n")))
+    items = _numbered(items.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0)).cast("int")
     pieces = items.withColumn("piece_no", F.explode(F.sequence(F.lit(0), last))).select(
         "doc_id", "copy", "piece_no", (F.col("piece_no").cast("long") * capacity).alias("start_token"),
@@ -94,7 +105,8 @@ def pack(
     for step in range(rounds):
         shards = max(1, -(-left.count() // shard_items))
         placed = left.withColumn("shard", F.pmod(F.xxhash64(F.lit(step), "doc_id", "piece_no", "copy"), F.lit(shards)).cast("int"))
-        placed = placed.select("shard", "doc_id", "copy", "piece_no", "start_token", "n_tokens").groupBy("shard")
+        # as many tasks as shards: they hold few bytes and much work, which adaptive execution would put in one task
+        placed = placed.select("shard", "doc_id", "copy", "piece_no", "start_token", "n_tokens").repartition(min(shards, MOST_TASKS), "shard").groupBy("shard")
         placed = saved(placed.applyInArrow(_pack_shard(capacity, max_items, max_cost, rule), SCHEMA.format(id=kind)), "packed")
         end = step == rounds - 1 or shards == 1
         stands = F.lit(True) if end else F.col("used") >= full * capacity

@@ -15,6 +15,8 @@ from locusloom.session import table
 
 FREQUENT_SHARE = 0.005
 CONTAINER = 2048
+#: Attention cost of a container: three quarters of that of one text of its full size.
+CONTAINER_COST = CONTAINER * CONTAINER * 3 // 4
 WINDOWS_PER_CLUSTER, FEATURES_PER_LIBRARY = 3, 10
 
 
@@ -41,6 +43,11 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return found.select("measure", F.col("value").alias("tag_seq"), "estimate", "weight")
 
 
+def p2_weights(spark: SparkSession, d: str) -> DataFrame:
+    """The verified weights of the frequent molecules alone."""
+    return p2_counts(spark, d).select("measure", "tag_seq", "weight")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Molecules with at least 0.5 % of the rows, or of the abundance."""
     return p2_counts(spark, d).select("measure", "tag_seq")
@@ -71,9 +78,9 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
-    """All texts in containers of 2,048 tokens."""
+    """All texts in containers of 2,048 tokens, 256 pieces and three quarters of the cost of a full text."""
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    return pack(docs.select("doc_id", token_count(F.col("text")).alias("size")), "doc_id", "size", CONTAINER)
+    return pack(docs.select("doc_id", token_count(F.col("text")).alias("size")), "doc_id", "size", CONTAINER, max_cost=CONTAINER_COST)
 
 
 def _ends(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +103,7 @@ def p8_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p3_found": p3_found,
+    "p1_found": p1_found, "p2_found": p2_found, "p2_counts": p2_counts, "p2_weights": p2_weights, "p3_found": p3_found,
     "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_sources": p8_sources,
 }
 
@@ -119,6 +126,10 @@ UNION ALL SELECT 'feature', alib, cID FROM rf WHERE r <= 10""",
 WITH {_MOLECULES}
 SELECT 'rows' AS measure, tag_seq FROM g, t WHERE g.n >= 0.005 * t.n
 UNION ALL SELECT 'abun', tag_seq FROM g, t WHERE t.a > 0 AND g.a >= 0.005 * t.a""",
+    "p2_weights": f"""
+WITH {_MOLECULES}
+SELECT 'rows' AS measure, tag_seq, CAST(g.n AS BIGINT) AS weight FROM g, t WHERE g.n >= 0.005 * t.n
+UNION ALL SELECT 'abun', tag_seq, CAST(g.a AS BIGINT) FROM g, t WHERE t.a > 0 AND g.a >= 0.005 * t.a""",
     "p3_found": """
 WITH RECURSIVE lies AS (SELECT DISTINCT clusterID AS c, clean_id AS contig FROM phas_to_detect JOIN contigs ON chromosome = old_id WHERE clusterID IS NOT NULL),
 named AS (SELECT DISTINCT regexp_replace(cluster_a, '^\\s+|\\s+$', '', 'g') AS a, regexp_replace(cluster_b, '^\\s+|\\s+$', '', 'g') AS b FROM merged_pairs),

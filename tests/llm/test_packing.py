@@ -21,6 +21,20 @@ def test_every_constraint_holds(rule):
     assert bins.max() + 1 <= 1.1 * max(-(-sizes.sum() // 100), 500 / 6)
 
 
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_cost_alone_rejects_a_bin(rule):
+    # 60 + 40 would fill 100 tokens, but cost 3600 + 1600; 60 + 30 keeps to 4500
+    assert best_fit(np.array([60, 40, 30]), 100, 9, 4500, rule).tolist() == [0, 1, 1 if rule == "dot" else 0]
+    assert best_fit(np.array([60, 40, 30]), 100, 9, 10_000, rule).tolist()[1] == 0
+    # an item that costs too much alone stands alone, beside nothing, not even an empty one
+    assert best_fit(np.array([90, 5, 0]), 100, 9, 4500, rule).tolist() == [0, 1, 1]
+    rng = np.random.default_rng(5)
+    sizes = np.sort(rng.integers(0, 100, 800))[::-1]
+    bins = best_fit(sizes, 100, 50, 6_000, rule)
+    cost, many = np.bincount(bins, sizes.astype(float) ** 2), np.bincount(bins)
+    assert ((cost <= 6_000) | (many == 1)).all() and len(many) > len(np.bincount(best_fit(sizes, 100, 50, 10_000, rule)))
+
+
 def check(rows, out, capacity, max_items):
     by_doc, by_bin = {}, {}
     for r in out:
@@ -45,10 +59,26 @@ def test_whole_and_full(spark):
     assert pieces == [(0, 0, 64), (1, 64, 64), (2, 128, 64), (3, 192, 8)]
 
 
+def test_many_copies_and_tasks(spark, monkeypatch):
+    import locusloom.llm.packing as packing
+
+    monkeypatch.setattr(packing, "COPIES", 7)
+    rows = [(1, 6, "")] * 45 + [(2, 4, "")] * 7 + [(3, 4, "")] * 8
+    out = pack(spark.createDataFrame(rows, SCHEMA), "doc_id", "size", 10, shard_items=20).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in out) == sorted((d, s) for d, s, _ in rows)
+
+
 def test_edges(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert pack(df, "doc_id", "size", 10).count() == 0
     with pytest.raises(ValueError):
-        pack(df, "doc_id", "size", 10, max_cost=50)
+        pack(df, "doc_id", "size", 10, max_cost=0)
+    costly = spark.createDataFrame([(i, 6 + i % 3, "") for i in range(60)] + [(100 + i, 2, "") for i in range(60)], SCHEMA)
+    by_bin = {}
+    for r in pack(costly, "doc_id", "size", 10, max_cost=50).collect():
+        by_bin.setdefault(r.container_id, []).append(r.n_tokens)
+    assert all(len(x) == 1 or sum(n * n for n in x) <= 50 for x in by_bin.values()) and sum(map(len, by_bin.values())) == 120
+    assert all(len(x) == 1 for x in by_bin.values() if 8 in x)  # 64 alone is more than 50
+    assert {tuple(sorted(x)) for x in by_bin.values() if 6 in x} >= {(2, 2, 6)}
     same = spark.createDataFrame([(1, 6, "")] * 30, SCHEMA).withColumn("text", F.lit(1))
     assert pack(same, "doc_id", "size", 10).select("container_id").distinct().count() == 30
