@@ -40,6 +40,7 @@ def test_interval_map_equals_sets(items):
     held = IntervalMap((s, s + n) for s, n in items)
     points = {p for s, n in items for p in range(s, s + n + 1)}
     assert held.items() == runs(points)
+    assert held.gaps() == [(a[1] + 1, b[0] - 1) for a, b in zip(held.items(), held.items()[1:])]
     assert all(a[1] + 1 < b[0] for a, b in zip(held.items(), held.items()[1:]))
 
 
@@ -55,6 +56,21 @@ def test_periods_over_tiles(spark):
     assert set(got) == brute(rows)
 
 
+def test_intervals_over_many_tiles(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice("xyz"), rng.choice("ab"), s := rng.randrange(900), s + rng.choice([1, 3, 9, 90, 260]), "k") for _ in range(70)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for tile in (8, 64):
+        found = interval_periods(df, {"ent": F.col("ent")}, F.col("start"), F.col("end"), F.col("side"), tile=tile)
+        got = [tuple(r) for r in found.select("ent", "kind", "period_start", "period_end").collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(rows)
+    # one interval of 10^15 positions is three rows, whatever the tile
+    huge = spark.createDataFrame([("h", "a", 5, 10**15, ""), ("h", "b", 7, 9, ""), ("h", "b", 4000, 4001, ""), ("h", "b", 10**15 + 5, 10**15 + 6, "")], SCHEMA)
+    found = interval_periods(huge, {"ent": F.col("ent")}, F.col("start"), F.col("end"), F.col("side"), tile=16)
+    want = {("covered", 5, 10**15), ("gap", 10**15 + 1, 10**15 + 4), ("covered", 10**15 + 5, 10**15 + 6), ("shared", 7, 9), ("shared", 4000, 4001)}
+    assert {(r.kind, r.period_start, r.period_end) for r in found.collect()} == want
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert interval_periods(df, {"ent": F.col("ent")}, F.col("start"), F.col("end"), F.col("side")).count() == 0

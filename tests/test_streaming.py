@@ -1,8 +1,10 @@
+import random
+
 from pyspark.sql import functions as F
 
-from locusloom.operators.intervals import IntervalMap
+from locusloom.operators.intervals import interval_periods
 from locusloom.streaming.counts import windowed_counts
-from locusloom.streaming.intervals import streaming_periods
+from locusloom.streaming.intervals import current_periods, streaming_periods
 
 
 def run(df, name, mode):
@@ -13,16 +15,23 @@ def run(df, name, mode):
 
 
 def test_intervals_in_state(spark, tmp_path):
-    parts = [[("e", 5, 9), ("e", 30, 20)], [("e", 10, 12), ("f", 1, 1), ("e", None, 3)], [("e", 13, 19)]]
-    schema = "entity string, start long, end long"
+    """Over tile edges, late and repeated rows, two sides: the stream says what the batch operator says of all rows."""
+    rng = random.Random(6)
+    make = lambda: (rng.choice("ef"), rng.choice("ab"), s := rng.randrange(300), s + rng.choice([0, 2, 9, 50]))
+    parts = [[make() for _ in range(25)] for _ in range(3)]
+    parts[1] += [("e", "a", None, 3), (None, "a", 1, 3), ("e", "a", 90, 20), parts[0][0]]
+    schema = "entity string, side string, start long, end long"
     for i, rows in enumerate(parts):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    rows = run(streaming_periods(stream, ["entity"], "start", "end"), "periods", "update")
-    want = IntervalMap((min(s, e), max(s, e)) for p in parts for k, s, e in p if k == "e" and s is not None)
-    assert want.items() == [(5, 30)]
-    assert ("covered", 5, 30) in {(r.kind, r.period_start, r.period_end) for r in rows if r.entity == "e"}
-    assert ("covered", 1, 1) in {(r.kind, r.period_start, r.period_end) for r in rows if r.entity == "f"}
+    run(streaming_periods(stream, ["entity"], "start", "end", "side", tile=16), "periods", "update")
+    emitted = spark.table("periods")
+    assert emitted.agg({"version": "max"}).first()[0] == 3
+    got = sorted(tuple(r) for r in current_periods(emitted, ["entity"]).select("entity", "kind", "period_start", "period_end").collect())
+    every = spark.createDataFrame([r for p in parts for r in p], schema)
+    want = interval_periods(every, {"entity": F.col("entity")}, F.col("start"), F.col("end"), F.col("side"), tile=16)
+    assert got == sorted(tuple(r) for r in want.select("entity", "kind", "period_start", "period_end").collect())
+    assert {k for _, k, *_ in got} == {"covered", "gap", "shared"}
 
 
 def test_windowed_counts(spark, tmp_path):
