@@ -14,10 +14,6 @@ from pyspark.sql.types import DoubleType
 _UNIT = NormalDist()
 
 
-def normal_tail(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2))
-
-
 @lru_cache(8)
 def _hypergeometric_tails(size: int, marked: int) -> np.ndarray:
     """``tails[n, x]``: probability of ``x`` or more marked ones among ``n`` drawn of ``size``."""
@@ -48,51 +44,76 @@ def hypergeometric_tail(phase: int, window: int = 15):
 
 
 @lru_cache(4096)
-def _exact_u_counts(n: int, m: int) -> np.ndarray:
-    """How many rank orders give each value of U."""
+def _exact_u_tails(n: int, m: int) -> np.ndarray:
+    """Upper tails of U over all rank orders of ``n`` and ``m`` different values, from the Gaussian binomial."""
     counts = np.zeros(n * m + 1)
     counts[0] = 1
-    for i in range(1, n + 1):  # coefficients of the Gaussian binomial
-        up = m + i
-        for j in range(n * m, up - 1, -1):
-            counts[j] -= counts[j - up]
-        for j in range(i, n * m + 1):
-            counts[j] += counts[j - i]
-    return counts
-
-
-def rank_sum_tail(u: float, n: int, m: int, ties: float) -> float:
-    """One-sided tail of the rank-sum statistic: exact for small untied samples, else normal with both corrections."""
-    if ties == 0 and min(n, m) <= 8 and n * m <= 200_000:
-        counts = _exact_u_counts(min(n, m), max(n, m))
-        return float(min(1.0, counts[math.ceil(u) :].sum() / counts.sum()))
+    for i in range(1, n + 1):
+        if m + i <= n * m:
+            counts[m + i :] -= counts[: n * m + 1 - m - i].copy()
+        for first in range(i):
+            counts[first::i] = np.cumsum(counts[first::i])
+    tails = counts[::-1].cumsum()[::-1]
+    return np.append(tails / tails[0], 0.0)
+
+
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+_inverse = np.frompyfunc(_UNIT.inv_cdf, 1, 1)
+
+
+def normal_tails(z: np.ndarray) -> np.ndarray:
+    return 0.5 * _erfc(z / math.sqrt(2)).astype(float)
+
+
+def rank_sum_tails(u: np.ndarray, n: np.ndarray, m: np.ndarray, ties: np.ndarray) -> np.ndarray:
+    """One-sided tails of rank-sum statistics: exact for untied samples with a side of 8 at most, else normal with both corrections."""
+    u, n, m, ties = (np.asarray(c, float) for c in (u, n, m, ties))
     total = n + m
-    var = n * m / 12 * ((total + 1) - ties / (total * (total - 1)))
-    if var <= 0:
-        return 1.0
-    return normal_tail((u - n * m / 2 - 0.5) / math.sqrt(var))
+    out = np.full(len(u), np.nan)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        var = n * m / 12 * ((total + 1) - ties / (total * (total - 1)))
+        known = var == var
+        out[known & (var <= 0)] = 1.0
+        at = known & (var > 0)
+        out[at] = normal_tails((u[at] - n[at] * m[at] / 2 - 0.5) / np.sqrt(var[at]))
+    few, many = np.minimum(n, m), np.maximum(n, m)
+    exact = np.flatnonzero((ties == 0) & (few <= 8) & (u == u))
+    if len(exact):
+        sizes, of = np.unique(np.stack([few[exact], many[exact]]), axis=1, return_inverse=True)
+        for k, (a, b) in enumerate(sizes.T.astype(int)):
+            rows = exact[of.ravel() == k]
+            out[rows] = _exact_u_tails(a, b)[np.clip(np.ceil(u[rows]), 0, a * b + 1).astype(int)]
+    return np.minimum(out, 1.0)
 
 
 @F.pandas_udf(DoubleType())
 def rank_sum_p(u: pd.Series, n: pd.Series, m: pd.Series, ties: pd.Series) -> pd.Series:
-    """Column form of :func:`rank_sum_tail`, rounded to 10 places."""
-    return pd.Series([round(rank_sum_tail(float(a), int(b), int(c), float(t)), 10) for a, b, c, t in zip(u, n, m, ties)], dtype=float)
-
-
-def combined_z(a: float, b: float) -> float | None:
-    """Stouffer's combination of two p-values; infinite where one is 0 or 1, nothing where these contradict."""
-    if a != a or b != b:
-        return None
-    z = [math.inf if p <= 0 else -math.inf if p >= 1 else -_UNIT.inv_cdf(p) for p in (a, b)]
-    total = sum(z) / math.sqrt(2)
-    return None if total != total else round(normal_tail(total), 15)
+    """Column form of :func:`rank_sum_tails`, rounded to 10 places; null inputs give null."""
+    p = rank_sum_tails(*(c.to_numpy(float, na_value=np.nan) for c in (u, n, m, ties)))
+    return pd.Series(p.round(10)).astype("Float64").mask(np.isnan(p))
+
+
+def combined_tails(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Stouffer's combination of two p-values; infinite where one is 0 or 1, NaN where these contradict or one is NaN."""
+    total = np.zeros(len(a))
+    with np.errstate(invalid="ignore"):
+        for p in (np.asarray(a, float), np.asarray(b, float)):
+            z = np.where(p <= 0, np.inf, np.where(p >= 1, -np.inf, np.nan))
+            inner = (p > 0) & (p < 1)
+            z[inner] = -_inverse(p[inner]).astype(float)
+            total += z
+    total /= math.sqrt(2)
+    out = np.full(len(total), np.nan)
+    ok = total == total
+    out[ok] = normal_tails(total[ok]).round(15)
+    return out
 
 
 @F.pandas_udf(DoubleType())
 def stouffer(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Column form of :func:`combined_z`; null inputs give null."""
-    values = [None if pd.isna(x) or pd.isna(y) else combined_z(float(x), float(y)) for x, y in zip(a, b)]
-    return pd.Series(values, dtype="Float64")
+    """Column form of :func:`combined_tails`; null inputs and contradicting ones give null."""
+    p = combined_tails(*(c.to_numpy(float, na_value=np.nan) for c in (a, b)))
+    return pd.Series(p).astype("Float64").mask(np.isnan(p))
 
 
 def log_gamma_tail(k: float, x: float) -> float:

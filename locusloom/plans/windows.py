@@ -36,7 +36,7 @@ def a12_cluster_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def n5_site_labels(spark: SparkSession, d: str) -> DataFrame:
     """Phased and unphased sites seen from every site of a cluster."""
-    return LB.label_counts(LB.labelled_pairs(_sites(spark, d), "clusterID", PHASE), "clusterID")
+    return LB.label_counts(_sites(spark, d), "clusterID", PHASE)
 
 
 def n1_hypergeometric(spark: SparkSession, d: str) -> DataFrame:
@@ -51,6 +51,11 @@ def n2_strand_rank_sums(spark: SparkSession, d: str) -> DataFrame:
     return LB.rank_sums(rows, ["clusterID"], F.col("strand") == "w", "abun").select("clusterID", "u", "n", "m", "ties")
 
 
+def n4_site_rank_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Rank-sum statistics of phased against other abundances around every site, forward and reverse."""
+    return LB.site_rank_sums(_sites(spark, d), "clusterID", PHASE)
+
+
 def n4_site_statistics(spark: SparkSession, d: str) -> DataFrame:
     """All p-values of every site."""
     return LB.site_statistics(_sites(spark, d), "clusterID", PHASE)
@@ -63,10 +68,18 @@ def n3_window_minima(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.count(p).alias("usable"), F.min(p).alias("least"), F.round(F.avg(p), 9).alias("mean"))
 
 
-QUERIES = {f.__name__: f for f in (w3_scoring_windows, a12_cluster_scores, n1_hypergeometric, n2_strand_rank_sums, n3_window_minima, n5_site_labels, n4_site_statistics)}
+QUERIES = {f.__name__: f for f in (w3_scoring_windows, a12_cluster_scores, n1_hypergeometric, n2_strand_rank_sums, n3_window_minima, n5_site_labels, n4_site_rank_sums, n4_site_statistics)}
 
 _ON = lambda x: f"({x} BETWEEN -1 AND 295 AND ({x} + 1 + 2100) % 21 <= 2)"
 
+_LABELS = f"""{READS}, s AS (SELECT clusterID, pos, strand, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE clusterID IS NOT NULL AND strand IS NOT NULL GROUP BY 1, 2, 3),
+x AS (SELECT a.clusterID, a.pos AS a_pos, a.strand AS a_strand, b.strand AS b_strand, b.abun, b.pos - a.pos AS d, (b.pos > a.pos OR (b.pos = a.pos AND b.strand <= a.strand)) AS fw, (b.pos < a.pos OR (b.pos = a.pos AND b.strand >= a.strand)) AS rv
+  FROM s a JOIN s b ON a.clusterID = b.clusterID AND b.pos BETWEEN a.pos - 298 AND a.pos + 298),
+l AS (SELECT *, CASE WHEN NOT fw THEN NULL WHEN CASE WHEN a_strand = b_strand THEN {_ON("d")} WHEN a_strand = 'w' THEN {_ON("(d + 3)")} ELSE {_ON("(d - 3)")} END THEN 'p'
+    WHEN d <= CASE a_strand WHEN 'w' THEN 295 ELSE 298 END THEN 'np' END AS f,
+  CASE WHEN NOT rv THEN NULL WHEN CASE WHEN a_strand = b_strand THEN {_ON("(-d)")} WHEN a_strand = 'w' THEN {_ON("(-d - 3)")} ELSE {_ON("(3 - d)")} END THEN 'p'
+    WHEN d >= CASE a_strand WHEN 'w' THEN -298 ELSE -295 END THEN 'np' END AS r FROM x)"""
+
 SQL = {
     "w3_scoring_windows": f"""WITH {READS},
 s AS (SELECT clusterID, min(pos) AS s, max(pos) AS e FROM reads WHERE clusterID IS NOT NULL GROUP BY 1 HAVING max(pos) - min(pos) >= 48),
@@ -93,6 +106,19 @@ SELECT clusterID, CAST(sum(x * mid) - sum(x) * (sum(x) + 1) / 2.0 AS DOUBLE) AS
   CAST(sum(CAST(x + y AS DOUBLE) ** 3 - (x + y)) AS DOUBLE) AS ties FROM r GROUP BY 1""",
     "n3_window_minima": """WITH w AS (SELECT cluster_id, CASE WHEN NOT isnan(combined_window_p_value) THEN combined_window_p_value END AS p FROM clusters_windows_to_score WHERE cluster_id IS NOT NULL)
 SELECT cluster_id, count(*) AS n, count(p) AS usable, min(p) AS least, round(avg(p), 9) AS mean FROM w GROUP BY 1""",
+    "n4_site_rank_sums": f"""WITH {_LABELS},
+v AS (SELECT clusterID, a_pos, a_strand, 'f' AS way, f AS label, abun FROM l WHERE f IS NOT NULL UNION ALL SELECT clusterID, a_pos, a_strand, 'r', r, abun FROM l WHERE r IS NOT NULL),
+g AS (SELECT clusterID, a_pos, a_strand, way, count(*) FILTER (WHERE label = 'p') AS x, count(*) FILTER (WHERE label = 'np') AS y FROM v GROUP BY 1, 2, 3, 4),
+e AS (SELECT * FROM v UNION ALL SELECT clusterID, a_pos, a_strand, way, CASE WHEN x = 0 THEN 'p' ELSE 'np' END, 0 FROM g WHERE x = 0 OR y = 0),
+c AS (SELECT clusterID, a_pos, a_strand, way, abun, count(*) FILTER (WHERE label = 'p') AS x, count(*) AS t FROM e GROUP BY 1, 2, 3, 4, 5),
+k AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY clusterID, a_pos, a_strand, way ORDER BY abun ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (t + 1) / 2.0 AS mid FROM c),
+q AS (SELECT clusterID, a_pos, a_strand, way, sum(x) AS n, sum(t) - sum(x) AS m, sum(x * mid) - sum(x) * (sum(x) + 1) / 2.0 AS u, sum(CAST(t AS DOUBLE) ** 3 - t) AS ties FROM k GROUP BY 1, 2, 3, 4),
+i AS (SELECT DISTINCT clusterID, a_pos, a_strand FROM l WHERE f IS NOT NULL OR r IS NOT NULL)
+SELECT i.*, CAST(coalesce(gf.x, 0) AS BIGINT) AS X_f, CAST(coalesce(gf.x + gf.y, 0) AS BIGINT) AS N_f, CAST(coalesce(gr.x, 0) AS BIGINT) AS X_r, CAST(coalesce(gr.x + gr.y, 0) AS BIGINT) AS N_r,
+  CAST(qf.n AS BIGINT) AS size_f, CAST(qf.m AS BIGINT) AS others_f, CAST(qf.u AS DOUBLE) AS u_f, CAST(qf.ties AS DOUBLE) AS ties_f,
+  CAST(qr.n AS BIGINT) AS size_r, CAST(qr.m AS BIGINT) AS others_r, CAST(qr.u AS DOUBLE) AS u_r, CAST(qr.ties AS DOUBLE) AS ties_r
+FROM i LEFT JOIN g gf ON gf.clusterID = i.clusterID AND gf.a_pos = i.a_pos AND gf.a_strand = i.a_strand AND gf.way = 'f' LEFT JOIN g gr ON gr.clusterID = i.clusterID AND gr.a_pos = i.a_pos AND gr.a_strand = i.a_strand AND gr.way = 'r'
+LEFT JOIN q qf ON qf.clusterID = i.clusterID AND qf.a_pos = i.a_pos AND qf.a_strand = i.a_strand AND qf.way = 'f' LEFT JOIN q qr ON qr.clusterID = i.clusterID AND qr.a_pos = i.a_pos AND qr.a_strand = i.a_strand AND qr.way = 'r'""",
     "n5_site_labels": f"""WITH {READS}, s AS (SELECT DISTINCT clusterID, pos, strand FROM reads WHERE clusterID IS NOT NULL AND strand IS NOT NULL),
 x AS (SELECT a.clusterID, a.pos AS a_pos, a.strand AS a_strand, b.strand AS b_strand, b.pos - a.pos AS d, (b.pos > a.pos OR (b.pos = a.pos AND b.strand <= a.strand)) AS fw, (b.pos < a.pos OR (b.pos = a.pos AND b.strand >= a.strand)) AS rv
   FROM s a JOIN s b ON a.clusterID = b.clusterID AND b.pos BETWEEN a.pos - 298 AND a.pos + 298),

@@ -2,7 +2,16 @@ import itertools
 import math
 from statistics import NormalDist
 
-from locusloom.functions.stats import _hypergeometric_tails, combined_z, log_gamma_tail, rank_sum_tail
+from locusloom.functions.stats import _hypergeometric_tails, combined_tails, log_gamma_tail, rank_sum_tails
+
+
+def rank_sum_tail(*args):
+    return float(rank_sum_tails(*([x] for x in args))[0])
+
+
+def combined_z(a, b):
+    p = float(combined_tails([a], [b])[0])
+    return None if p != p else p
 
 
 def test_hypergeometric_tail_is_the_sum():
@@ -21,6 +30,8 @@ def test_rank_sum_exact_and_normal():
     z = (250 - 200 - 0.5) / math.sqrt(20 * 20 / 12 * 41)
     assert abs(rank_sum_tail(250, 20, 20, 0) - (1 - NormalDist().cdf(z))) < 1e-12
     assert rank_sum_tail(2, 2, 2, 60) == 1.0  # all equal
+    tails = rank_sum_tails([3, 3, 40, float("nan")], [3, 3, 2, 3], [4, 4, 5000, 4], [0, 6, 0, 0])  # the exact way has no size limit
+    assert abs(tails[0] - sum(x >= 3 for x in u) / len(u)) < 1e-12 and tails[1] != tails[0] and abs(tails[2] - (1 - 441 / math.comb(5002, 2))) < 2e-5 and tails[3] != tails[3]
 
 
 def test_combined_p_values():
