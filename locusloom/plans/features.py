@@ -16,7 +16,7 @@ SCORE, PEAK, COMPLEXITY = 50.0, 12.5, 0.3
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    """Feature rows with their keys; identical repeats once, the latest load of a cluster and library counts."""
+    """Feature rows with their keys, identical repeats once whenever they were loaded; loads that differ are rows of their own."""
     rows = table(spark, d, "features").where("identifier is not null and alib is not null and cID is not null")
     return rows.drop("loaded_at").distinct()
 
@@ -31,8 +31,9 @@ def a14_phase_positions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def w8_best_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The best feature row of each identifier and library."""
-    return FE.best_rows(_features(spark, d), ["identifier", "alib"]).select("identifier", "alib", "cID", "Howell_exact_support_score", "Peak_Howell_score", "phase_score")
+    """The best feature row of each identifier and library; a score that is NaN is unknown."""
+    scores = (known(F.col(c)).alias(c) for c in ("Howell_exact_support_score", "Peak_Howell_score", "phase_score"))
+    return FE.best_rows(_features(spark, d), ["identifier", "alib"]).select("identifier", "alib", "cID", *scores)
 
 
 def w9_longest_empty_run(spark: SparkSession, d: str) -> DataFrame:
@@ -204,7 +205,7 @@ SELECT clusterID, s AS "start", e AS "end", CAST(total AS DOUBLE) AS total_abund
   round(log10(CASE WHEN e - s - 21 > 0 THEN CAST(os AS DOUBLE) / (e - s - 21) ELSE 0 END + 1), 9) AS log_clust_len_norm_counts,
   round(CASE WHEN total > 0 THEN CAST(tags AS DOUBLE) / CAST(total AS DOUBLE) ELSE 0 END, 9) AS complexity FROM g""",
     "a14_phase_positions": f"WITH {READS} SELECT clusterID, strand, pos, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE len = 21 AND strand IS NOT NULL AND clusterID IS NOT NULL GROUP BY 1, 2, 3",
-    "w8_best_rows": f"WITH {_BEST} SELECT identifier, alib, cID, Howell_exact_support_score, Peak_Howell_score, phase_score FROM best",
+    "w8_best_rows": f"WITH {_BEST} SELECT identifier, alib, cID, {', '.join(f'{_N(c)} AS {c}' for c in ('Howell_exact_support_score', 'Peak_Howell_score', 'phase_score'))} FROM best",
     "w9_longest_empty_run": f"""WITH {READS}, c AS (SELECT DISTINCT clusterID, pos % 21 AS register, pos // 21 AS cycle FROM reads WHERE len = 21 AND strand = 'w' AND clusterID IS NOT NULL),
 g AS (SELECT *, coalesce(cycle - lag(cycle) OVER (PARTITION BY clusterID, register ORDER BY cycle) - 1, 0) AS empty FROM c)
 SELECT clusterID, register, count(*) AS supported, max(empty) AS longest_empty FROM g GROUP BY 1, 2""",

@@ -26,8 +26,10 @@ def duck():
 def plain(v):
     if isinstance(v, (list, np.ndarray)):
         return tuple(map(plain, v))
-    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, (float, np.floating)) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if isinstance(v, (float, np.floating)) and math.isnan(v):
+        return "NaN"  # no null, and unlike one it does not equal itself where results are compared
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
     if isinstance(v, (int, float, np.integer, np.floating)):
@@ -35,20 +37,24 @@ def plain(v):
     return v
 
 
-def rows(df):
-    return sorted((tuple(map(plain, r)) for r in df[sorted(df.columns)].itertuples(index=False, name=None)), key=repr)
+def rows(table):
+    """Rows of an Arrow table, in which nulls and NaN differ."""
+    names = sorted(table.column_names)
+    return sorted((tuple(map(plain, r)) for r in zip(*(table.column(n).to_pylist() for n in names))), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_equals_sql(spark, duck, name):
-    ours, theirs = registry.QUERIES[name](spark, str(DATA)).toPandas(), duck.sql(registry.SQL[name]).df()
-    assert sorted(ours.columns) == sorted(theirs.columns)
-    assert rows(ours) == rows(theirs)
+    ours, theirs = registry.QUERIES[name](spark, str(DATA)).toArrow(), duck.sql(registry.SQL[name]).to_arrow_table()
+    assert sorted(ours.column_names) == sorted(theirs.column_names)
+    got = rows(ours)
+    assert got == rows(theirs)
+    assert not any(v == "NaN" for r in got for v in r)
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
 def test_runs(spark, name):
-    assert registry.QUERIES[name](spark, str(DATA)).count() >= 0
+    assert registry.QUERIES[name](spark, str(DATA)).count() > 0 or name == "n11_peak_competitors"  # the smallest tables have none
 
 
 def test_total_abundance_has_all_cells(spark):
