@@ -16,17 +16,19 @@ from locusloom.operators.intervals import interval_periods
 from locusloom.operators.keyed import by_key
 
 CYCLES, TILE = 10, 1 << 12
+#: Positions that a window must hold to score more than 0.
+LEAST_FILLED = 4
 AMBIGUOUS, CROWDING_GAP = 0.90, 4.0
 
 
 def _score(inside: np.ndarray, total: np.ndarray, filled: np.ndarray) -> np.ndarray:
     outside = np.maximum(0.0, total - inside)
     score = (np.minimum(filled, CYCLES) - 2) * np.log1p(10.0 * inside / (1.0 + outside))
-    return np.where((filled > 3) & (inside > 0), score, 0.0)
+    return np.where((filled >= LEAST_FILLED) & (inside > 0), score, 0.0)
 
 
-def register_tables(pos: np.ndarray, abun: np.ndarray, starts: np.ndarray, phase: int, strand: str) -> dict[str, np.ndarray]:
-    """For each window start (row) and register (column): relaxed and exact scores, exact in-phase sums and fillings.
+def register_tables(pos: np.ndarray, abun: np.ndarray, starts: np.ndarray, phase: int, strand: str, kinds: tuple[str, ...] = ("relaxed", "exact")) -> dict[str, np.ndarray]:
+    """For each window start (row) and register (column): scores, in-phase sums and fillings of the asked ``kinds``.
 
     Exact: reads at the expected position of a cycle. Relaxed: else those of the better neighbour (the left one if
     equal); the other neighbours of a counted position do not count against the register. Neighbours outside the window
@@ -39,39 +41,45 @@ def register_tables(pos: np.ndarray, abun: np.ndarray, starts: np.ndarray, phase
     at = pos[keep] - base
     a, here = np.zeros(length), np.zeros(length, bool)
     a[at], here[at] = abun[keep], True
+    n = length - (CYCLES - 1) * phase
+    over = lambda x: sum(x[c * phase : c * phase + n] for c in range(CYCLES))
+    rows = starts - base
+    grid = rows[:, None] + np.arange(phase)
+    running = np.append(0.0, a.cumsum())
+    total = (running[rows + size] - running[rows])[:, None]
+    out = {}
+    if "relaxed" in kinds:
+        inside, spared, filled = _with_neighbours(a, here, over, rows, grid, size)
+        out |= {"relaxed": _score(inside, total - spared, filled), "relaxed_inside": inside, "relaxed_total": total - spared, "relaxed_filled": filled}
+    if "exact" in kinds:
+        inside = over(a)[grid]
+        out |= {"exact": _score(inside, total, over(here.astype(float))[grid]), "inside": inside}
+    if strand == "c":
+        out = {k: v[:, ::-1] for k, v in out.items()}
+    count = np.append(0, here.cumsum())
+    out["occupied"] = count[rows + size] > count[rows]
+    return out
+
+
+def _with_neighbours(a: np.ndarray, here: np.ndarray, over, rows: np.ndarray, grid: np.ndarray, size: int) -> list[np.ndarray]:
+    """In-phase, quarantined and filled of each window and register where neighbours may stand in."""
     left, right = np.append(0.0, a[:-1]), np.append(a[1:], 0.0)
     on_left, on_right = np.append(False, here[:-1]), np.append(here[1:], False)
 
     def cycle(l_on, r_on):
-        """In-phase, quarantined and filled of one expected position, seeing the given neighbours."""
+        """The same of one expected position, seeing the given neighbours."""
         x, y = np.where(l_on, left, 0.0), np.where(r_on, right, 0.0)
         inside = np.where(here, a, np.maximum(x, y))
         return inside, np.where(here, x + y, np.where(l_on & r_on, np.minimum(x, y), 0.0)), (here | l_on | r_on).astype(float)
 
-    none = np.zeros(length, bool)
-    full, no_left, no_right = cycle(on_left, on_right), cycle(none, on_right), cycle(on_left, none)
-    n = length - (CYCLES - 1) * phase
-    over = lambda x: sum(x[c * phase : c * phase + n] for c in range(CYCLES))
-    rows = starts - base
-    grid = rows[:, None] + np.arange(phase)
-    relaxed = []
-    for whole, first, last in zip(full, no_left, no_right):
+    none = np.zeros(len(a), bool)
+    tables = []
+    for whole, first, last in zip(cycle(on_left, on_right), cycle(none, on_right), cycle(on_left, none)):
         table = over(whole)[grid]
         table[:, 0] += (first - whole)[rows]
         table[:, -1] += (last - whole)[rows + size - 1]
-        relaxed.append(table)
-    running = np.append(0.0, a.cumsum())
-    total = (running[rows + size] - running[rows])[:, None]
-    count = np.append(0, here.cumsum())
-    exact, filled = over(a)[grid], over(here.astype(float))[grid]
-    out = {
-        "relaxed": _score(relaxed[0], total - relaxed[1], relaxed[2]), "exact": _score(exact, total, filled), "inside": exact,
-        "relaxed_inside": relaxed[0], "relaxed_total": total - relaxed[1], "relaxed_filled": relaxed[2],
-    }
-    if strand == "c":
-        out = {k: v[:, ::-1] for k, v in out.items()}
-    out["occupied"] = count[rows + size] > count[rows]
-    return out
+        tables.append(table)
+    return tables
 
 
 def _strict(tables: dict[str, np.ndarray]) -> np.ndarray:
@@ -91,11 +99,10 @@ def _tiled(positions: DataFrame, cluster: str, size: int) -> DataFrame:
     return positions.withColumn("__tile", F.explode(tiles))
 
 
-def with_bounds(positions: DataFrame, spans: DataFrame, cluster: str) -> DataFrame:
-    """``positions`` with the cluster's ends (``lo``, ``hi``) and the strand's first position (``first``)."""
+def strand_bounds(positions: DataFrame, spans: DataFrame, cluster: str) -> DataFrame:
+    """The cluster's ends (``lo``, ``hi``) and the first position (``first``) of each strand."""
     first = positions.groupBy(cluster, "strand").agg(F.min("pos").alias("first"))
-    bounds = first.join(spans.select(cluster, "lo", "hi"), cluster)
-    return positions.join(bounds, [cluster, "strand"])
+    return first.join(spans.select(cluster, "lo", "hi"), cluster)
 
 
 def howell_scan(positions: DataFrame, spans: DataFrame, cluster: str, phase: int) -> DataFrame:
@@ -112,21 +119,24 @@ def howell_scan(positions: DataFrame, spans: DataFrame, cluster: str, phase: int
         lo, hi = _starts(int(rows["lo"][0]), int(rows["hi"][0]), int(rows["first"][0]), size)
         tile = key[2]
         lo, hi = max(lo, tile * TILE), min(hi, (tile + 1) * TILE - 1)
-        pos = rows["pos"]
-        lo, hi = max(lo, int(pos[0]) - size + 1), min(hi, int(pos[-1]))
-        if lo > hi:
+        pos, abun = rows["pos"][1:], rows["abun"][1:].astype(float)  # the first row brings the bounds
+        starts = np.arange(max(lo, int(pos[0]) - size + 1), min(hi, int(pos[-1])) + 1)
+        starts = starts[np.searchsorted(pos, starts + size) - np.searchsorted(pos, starts) >= LEAST_FILLED]  # others score 0
+        if not len(starts):
             return []
-        starts = np.arange(lo, hi + 1)
-        tables = register_tables(pos, rows["abun"].astype(float), starts, phase, key[1])
+        tables = register_tables(pos, abun, starts, phase, key[1])
         relaxed, strict = tables["relaxed"].max(axis=1), _strict(tables)
         i, j = int(relaxed.argmax()), int(strict.argmax())
         return [(key[0], key[1], float(relaxed[i]), int(starts[i]), float(strict[j]), int(starts[j]))]
 
     schema = T.StructType([T.StructField(cluster, kind), T.StructField("strand", T.StringType())] + [T.StructField(n, t) for n, t in (("relaxed", T.DoubleType()), ("relaxed_start", T.LongType()), ("strict", T.DoubleType()), ("strict_start", T.LongType()))])
-    bounded = with_bounds(positions, spans, cluster)
-    tiles = by_key(_tiled(bounded, cluster, size), [cluster, "strand", "__tile"], ["pos"], kernel, schema)
+    ends = strand_bounds(positions, spans, cluster)
+    keys = [cluster, "strand", "__tile"]
+    tiled = _tiled(positions, cluster, size).select(*keys, "pos", "abun")
+    # the bounds come to each tile as one row ahead of the others, not to every position
+    ahead = tiled.select(*keys).distinct().join(ends, [cluster, "strand"]).select(*keys, F.lit(-(2**62)).alias("pos"), F.lit(0).cast("long").alias("abun"), "lo", "hi", "first")
+    tiles = by_key(tiled.unionByName(ahead, allowMissingColumns=True), keys, ["pos"], kernel, schema)
     best = tiles.groupBy(cluster, "strand").agg(*(F.max(F.struct(F.col(s).alias("score"), (-F.col(f"{s}_start")).alias("at"))).alias(s) for s in ("relaxed", "strict")))
-    ends = bounded.select(cluster, "strand", "lo", "hi", "first").distinct()
     lower = F.when(F.col("hi") - size + 1 >= F.col("lo"), F.col("lo")).otherwise(F.col("first"))
     value = lambda s: F.coalesce(F.col(f"{s}.score"), F.lit(0.0))
     start = lambda s: F.when(value(s) > 0, -F.col(f"{s}.at")).otherwise(lower)
@@ -150,7 +160,7 @@ def peak_ambiguity(positions: DataFrame, scan: DataFrame, cluster: str, phase: i
         peak, strand = int(rows["peak"][0]), rows["strand"][0]
         lo, hi = _starts(int(rows["lo"][0]), int(rows["hi"][0]), int(rows["first"][0]), size)
         starts = np.arange(max(lo, peak - size + 1), min(hi, peak + size - 1) + 1)
-        tables = register_tables(rows["pos"], rows["abun"].astype(float), starts, phase, strand)
+        tables = register_tables(rows["pos"], rows["abun"].astype(float), starts, phase, strand, ("exact",))
         exact, best = tables["exact"].max(axis=1), tables["exact"].argmax(axis=1)
         frame = (starts + best if strand == "w" else starts + size - 1 - best) % phase
         frame = np.where(tables["occupied"], frame, -1)
@@ -196,7 +206,7 @@ def howell_trace(positions: DataFrame, cluster: str, phase: int) -> DataFrame:
         if not mine.any():
             return []
         starts = starts[mine]
-        tables = register_tables(pos, rows["abun"].astype(float), starts, phase, strand)
+        tables = register_tables(pos, rows["abun"].astype(float), starts, phase, strand, ("relaxed",))
         best = tables["relaxed"].argmax(axis=1)
         pick = lambda t: tables[t][np.arange(len(best)), best]
         score, inside, total, filled = pick("relaxed"), pick("relaxed_inside"), pick("relaxed_total"), pick("relaxed_filled")
@@ -296,7 +306,7 @@ def peak_competitors(positions: DataFrame, scan: DataFrame, cluster: str, phase:
         peak, strand = int(rows["peak"][0]), rows["strand"][0]
         lo, hi = _starts(int(rows["lo"][0]), int(rows["hi"][0]), int(rows["first"][0]), size)
         starts = np.arange(max(lo, peak - size + 1), min(hi, peak + size - 1) + 1)
-        tables = register_tables(rows["pos"], rows["abun"].astype(float), starts, phase, strand)
+        tables = register_tables(rows["pos"], rows["abun"].astype(float), starts, phase, strand, ("exact",))
         exact, best = tables["exact"].max(axis=1), tables["exact"].argmax(axis=1)
         frame = np.where(tables["occupied"], (starts + best if strand == "w" else starts + size - 1 - best) % phase, -1)
         k = int(np.flatnonzero(starts == peak)[0])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusloom.operators import howell as H
 from locusloom.operators.features import cluster_features, phase_positions
 from locusloom.plans.common import PHASE, READS, reads
+from locusloom.session import saved
 
 CUTOFF = 12.5
 
@@ -25,6 +26,18 @@ def _trace(spark: SparkSession, d: str) -> DataFrame:
     return H.howell_trace(_inputs(spark, d)[0], "clusterID", PHASE)
 
 
+def _saved_trace(spark: SparkSession, d: str) -> DataFrame:
+    """The trace as a table, for queries that read it more than once: its kernel runs once."""
+    return saved(_trace(spark, d), "trace")
+
+
+def _saved_scan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Positions and their scan, both as tables."""
+    positions, spans = _inputs(spark, d)
+    positions = saved(positions, "positions")
+    return positions, saved(H.howell_scan(positions, spans, "clusterID", PHASE), "scan")
+
+
 def n7_strict_scan(spark: SparkSession, d: str) -> DataFrame:
     """Best window without wobble of each cluster and strand."""
     return _scan(spark, d).select("clusterID", "strand", F.round("strict_score", 6).alias("score"), F.col("strict_start").alias("window_start"))
@@ -36,8 +49,8 @@ def n8_relaxed_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def n9_peak_ambiguity(spark: SparkSession, d: str) -> DataFrame:
-    positions, spans = _inputs(spark, d)
-    return H.peak_ambiguity(positions, H.howell_scan(positions, spans, "clusterID", PHASE), "clusterID", PHASE)
+    rows = H.peak_ambiguity(*_saved_scan(spark, d), "clusterID", PHASE)
+    return rows.withColumns({c: F.round(c, 6) for c in ("exact_support", "overlap_margin", "origin_margin")})
 
 
 def w6_trace(spark: SparkSession, d: str) -> DataFrame:
@@ -49,40 +62,38 @@ def w7_trace_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def n10_crowding(spark: SparkSession, d: str) -> DataFrame:
-    rows = H.crowding(_trace(spark, d), "clusterID", PHASE)
+    rows = H.crowding(_saved_trace(spark, d), "clusterID", PHASE)
     return rows.withColumns({c: F.round(c, 6) for c in ("peak_score", "crowding_best", "crowding_gap")})
 
 
 def n15_register_reads(spark: SparkSession, d: str) -> DataFrame:
-    positions = _inputs(spark, d)[0]
+    positions = saved(_inputs(spark, d)[0], "positions")
     return H.register_reads(positions, H.trace_peaks(H.howell_trace(positions, "clusterID", PHASE), "clusterID"), "clusterID", PHASE)
 
 
 def n14_feature_table(spark: SparkSession, d: str) -> DataFrame:
     """Cluster features with peak scores, ambiguity and crowding."""
-    positions, spans = _inputs(spark, d)
-    scan = H.howell_scan(positions, spans, "clusterID", PHASE)
+    positions, scan = _saved_scan(spark, d)
     peaks = scan.groupBy("clusterID").agg(F.max("score").alias("Peak_Howell_score"), F.max("strict_score").alias("Peak_Howell_score_strict"))
     base = cluster_features(reads(spark, d).where("clusterID is not null"), "clusterID", PHASE)
     ambiguity = H.peak_ambiguity(positions, scan, "clusterID", PHASE)
-    crowd = H.crowding(H.howell_trace(positions, "clusterID", PHASE), "clusterID", PHASE).select("clusterID", "crowding_windows", "crowding_best", "crowding_gap")
+    crowd = H.crowding(saved(H.howell_trace(positions, "clusterID", PHASE), "trace"), "clusterID", PHASE).select("clusterID", "crowding_windows", "crowding_best", "crowding_gap")
     return base.join(peaks, "clusterID", "left").join(ambiguity, "clusterID", "left").join(crowd, "clusterID", "left")
 
 
 def n11_peak_competitors(spark: SparkSession, d: str) -> DataFrame:
-    positions, spans = _inputs(spark, d)
-    return H.peak_competitors(positions, H.howell_scan(positions, spans, "clusterID", PHASE), "clusterID", PHASE)
+    return H.peak_competitors(*_saved_scan(spark, d), "clusterID", PHASE).withColumn("exact_score", F.round("exact_score", 6))
 
 
 def n12_trace_group_summaries(spark: SparkSession, d: str) -> DataFrame:
     """Groups of strong windows with their peaks and registers: what the assembly of units starts from."""
-    rows = H.trace_group_summaries(_trace(spark, d), "clusterID", PHASE, CUTOFF)
+    rows = H.trace_group_summaries(_saved_trace(spark, d), "clusterID", PHASE, CUTOFF)
     return rows.withColumn("group_score", F.round("group_score", 6))
 
 
 def n12_alternative_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping windows of other registers by the shift of their register."""
-    rows = H.alternative_candidates(_trace(spark, d), "clusterID", PHASE, CUTOFF)
+    rows = H.alternative_candidates(_saved_trace(spark, d), "clusterID", PHASE, CUTOFF)
     return rows.withColumn("best_score", F.round("best_score", 6))
 
 
@@ -114,7 +125,30 @@ _TRACE = f"""{_ANCHORED}, {_RELAXED}, tr AS (SELECT an.clusterID, an.strand, anc
 _PEAKS = f"""{_TRACE}, pk AS (SELECT clusterID, strand, anchor AS pa_, window_start AS ps, window_end AS pe, score AS psc, CASE strand WHEN 'w' THEN window_start + coalesce(register, 0) ELSE window_end - coalesce(register, 0) END AS origin
   FROM (SELECT *, row_number() OVER (PARTITION BY clusterID ORDER BY score DESC, strand, CASE strand WHEN 'w' THEN -anchor ELSE anchor END) AS k2 FROM tr) WHERE k2 = 1)"""
 
+# the exact scores of all registers of every window, its best register and frame; the peak is the best relaxed window
+_EXACT = f"""{_DENSE}, tot AS (SELECT clusterID, strand, s, sum(abun) AS t FROM m GROUP BY 1, 2, 3),
+rg AS (SELECT clusterID, strand, s, CASE strand WHEN 'w' THEN (pos - s) % 21 ELSE (s + 209 - pos) % 21 END AS r, sum(abun) AS i, count(*) AS n FROM m GROUP BY 1, 2, 3, 4),
+ex AS (SELECT clusterID, strand, s, r, {_SCORE} AS score FROM rg JOIN tot USING (clusterID, strand, s)),
+en AS (SELECT clusterID, strand, s, max(score) AS score, first(r ORDER BY score DESC, r) AS best FROM ex GROUP BY 1, 2, 3),
+win AS (SELECT clusterID, strand, s, score, CASE strand WHEN 'w' THEN (s + (CASE WHEN score > 0 THEN best ELSE 0 END)) % 21 ELSE (s + 209 - (CASE WHEN score > 0 THEN best ELSE 0 END)) % 21 END AS frame FROM en)"""
+_RIVALS = lambda winner: f"""{_EXACT}, {_RELAXED.replace('tot AS', 'tot2 AS').replace('JOIN tot ', 'JOIN tot2 ').replace('rg AS', 'rg2 AS').replace('rg.*', 'rg2.*').replace('FROM rg ', 'FROM rg2 ')},
+sb AS ({_BEST.replace('round(coalesce(max(score), 0), 6)', 'coalesce(max(score), 0)')}),
+pk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clusterID ORDER BY score DESC, strand {winner}) AS k4 FROM sb) WHERE k4 = 1),
+me AS (SELECT pk.clusterID, pk.strand, window_start AS p0, coalesce(w.score, 0) AS sup, w.frame AS fr FROM pk LEFT JOIN win w ON w.clusterID = pk.clusterID AND w.strand = pk.strand AND w.s = window_start),
+rv AS (SELECT me.*, w.s, w.score AS sc, w.frame AS f2 FROM me JOIN win w USING (clusterID, strand) WHERE me.sup > 0 AND w.s <> p0 AND w.s BETWEEN p0 - 209 AND p0 + 209 AND w.score >= 0.9 * me.sup)"""
+
 SQL = {
+    "n9_peak_ambiguity": f"""WITH {_RIVALS('DESC')},
+al AS (SELECT me.clusterID, count(*) FILTER (WHERE e.score >= 0.9 * sup) - 1 AS alt FROM me JOIN ex e ON e.clusterID = me.clusterID AND e.strand = me.strand AND e.s = p0 WHERE sup > 0 GROUP BY 1),
+ag AS (SELECT clusterID, count(*) AS n, max(sc) AS top, count(*) FILTER (WHERE f2 = fr) AS same, count(*) FILTER (WHERE f2 <> fr) AS other, max(sc) FILTER (WHERE f2 <> fr) AS other_top, count(DISTINCT f2) FILTER (WHERE f2 <> fr) AS frames,
+  min(s) FILTER (WHERE f2 = fr) AS lo_, max(s) FILTER (WHERE f2 = fr) AS hi_ FROM rv GROUP BY 1)
+SELECT me.clusterID, strand AS peak_strand, p0 AS peak_start, round(sup, 6) AS exact_support, CASE WHEN sup > 0 THEN CAST(coalesce(n, 0) AS INT) END AS ambiguity_count, CASE WHEN sup > 0 THEN CAST(alt AS INT) END AS alt_register_count,
+  round(sup - top, 6) AS overlap_margin, CASE WHEN sup > 0 THEN CAST(coalesce(same, 0) AS INT) END AS extension_window_count,
+  CASE WHEN sup > 0 THEN CAST(greatest(p0, coalesce(hi_, p0)) + 210 - least(p0, coalesce(lo_, p0)) AS BIGINT) END AS extension_span_nt, CASE WHEN sup > 0 THEN CAST(coalesce(other, 0) AS INT) END AS origin_window_count,
+  CASE WHEN sup > 0 THEN CAST(coalesce(frames, 0) AS INT) END AS origin_frame_count, round(sup - other_top, 6) AS origin_margin,
+  CASE WHEN sup <= 0 THEN 'insufficient_exact_support' WHEN n IS NULL THEN 'unique_origin' WHEN other = 0 THEN 'coherent_extension' WHEN same > 0 THEN 'mixed_extension_and_ambiguity' ELSE 'ambiguous_origin' END AS origin_class
+FROM me LEFT JOIN al USING (clusterID) LEFT JOIN ag USING (clusterID)""",
+    "n11_peak_competitors": f"""WITH {_RIVALS('ASC')} SELECT clusterID, strand, s AS window_start, s + 209 AS window_end, round(sc, 6) AS exact_score, CAST(f2 AS INT) AS exact_frame FROM rv WHERE f2 <> fr""",
     "n7_strict_scan": f"WITH {_DENSE}, {_STRICT} {_BEST}",
     "n8_relaxed_scan": f"WITH {_DENSE}, {_RELAXED} {_BEST}",
     "w6_trace": f"WITH {_TRACE} SELECT * REPLACE (round(score, 6) AS score, round(in_phase, 6) AS in_phase, round(out_of_phase, 6) AS out_of_phase) FROM tr",
