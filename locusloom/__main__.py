@@ -12,8 +12,8 @@ from locusloom.config import Params
 from locusloom.functions.loci import locus_parts
 from locusloom.operators.compare import match_calls, match_metrics
 from locusloom.plans import pipeline
-from locusloom.session import ship_package
-from locusloom.sources.alignments import parse_annotation, parse_sam
+from locusloom.session import saved, ship_package
+from locusloom.sources.alignments import parse_annotation, parse_sam, read_calls, read_overrides
 from locusloom.sources.sinks import write_table
 
 
@@ -37,6 +37,12 @@ def _calls(spark: SparkSession, path: str):
     return rows.select(F.lit(1).alias("run"), contig.alias("chromosome"), "identifier", start.alias("start"), end.alias("end")).dropna().distinct()
 
 
+def _text_calls(spark: SparkSession, path: str, one_based: bool):
+    """Loci of calls given as text, whatever their class."""
+    rows = read_calls(spark, path, one_based)
+    return rows.select(F.lit(1).alias("run"), "chromosome", "identifier", (F.col("start") + 1).alias("start"), "end").distinct()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="locusloom", description=__doc__)
     steps = parser.add_subparsers(dest="step", required=True)
@@ -49,12 +55,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     compare.add_argument("run_a")
     compare.add_argument("run_b")
     compare.add_argument("--overlap-buffer", type=int, default=0)
-    compare.add_argument("--prefer", choices=("run_a", "run_b"), default="run_a")
+    compare.add_argument("--prefer", default="auto", help="auto, run_a or run_b; auto takes the run that is not pooled")
+    compare.add_argument("--label-a", default="run_a")
+    compare.add_argument("--label-b", default="run_b")
     match = steps.add_parser("match", help="calls against a BED or GFF file of known loci")
     match.add_argument("calls")
     match.add_argument("truth")
     match.add_argument("--form", choices=("bed", "gff"), default="bed")
     match.add_argument("--flank", type=int, default=250)
+    match.add_argument("--text-calls", action="store_true", help="the calls are tab-separated text")
+    match.add_argument("--zero-based", action="store_true", help="text calls whose starts count from 0")
     for step in (find, classify, compare, match):
         step.add_argument("--out", required=True)
         step.add_argument("--text", action="store_true", help="tab-separated text in place of Parquet")
@@ -76,15 +86,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         rows = parse_sam(lines).withColumn("tag_id", F.substring_index("name", "|", 1))
         write(pipeline.find(pipeline.prepared(rows, p), p), "scored")
     elif args.step == "classify":
-        given = spark.read.option("sep", "\t").option("header", True).csv(args.overrides) if args.overrides else None
-        write(pipeline.classify(spark.read.parquet(args.scored), _given(args), given), "calls")
+        given = read_overrides(spark, args.overrides) if args.overrides else None
+        for name, df in pipeline.result_tables(saved(pipeline.classify(spark.read.parquet(args.scored), _given(args), given), "calls")).items():
+            write(df, name)
     elif args.step == "compare":
-        for name, df in pipeline.compare(_calls(spark, args.run_a), _calls(spark, args.run_b), ["run", "chromosome"], args.overlap_buffer, args.prefer).items():
+        inside = [p for p in (args.run_a, args.run_b) if f"{args.out.rstrip('/')}/".startswith(f"{p.rstrip('/')}/")]
+        if inside:
+            raise ValueError(f"--out must not lie in {inside[0]}")
+        for name, df in pipeline.compare_calls(spark.read.parquet(args.run_a), spark.read.parquet(args.run_b), args.overlap_buffer, args.prefer, (args.label_a, args.label_b)).items():
             write(df, name)
     else:
         truth = parse_annotation(spark.read.text(args.truth), args.form)
         truth = truth.select(F.lit(1).alias("run"), "chromosome", F.col("name").alias("identifier"), (F.col("start") + 1).alias("start"), "end")
-        matches = match_calls(_calls(spark, args.calls), truth, ["run", "chromosome"], args.flank)
+        matches = match_calls(_text_calls(spark, args.calls, not args.zero_based) if args.text_calls else _calls(spark, args.calls), truth, ["run", "chromosome"], args.flank)
         write(matches, "matches")
         write(match_metrics(matches, ["run"], "chromosome"), "metrics")
 

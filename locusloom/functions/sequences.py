@@ -14,11 +14,15 @@ def molecule(seq: Column) -> Column:
     return F.when(clean != "", clean)
 
 
+def cut_at_n(seq: Column) -> Column:
+    """The sequence, cut before the first N if that lies in the first half."""
+    at = F.instr(seq, "N")
+    return F.when((at > 0) & (at <= F.floor(F.length(seq) / 2)), F.substring(seq, F.lit(1), at - 1)).otherwise(seq)
+
+
 def chop_at_n(seq: Column) -> Column:
     """Bare capitals, cut before the first N if that lies in the first half."""
-    s = F.upper(F.trim(seq))
-    at = F.instr(s, "N")
-    return F.when((at > 0) & (at <= F.floor(F.length(s) / 2)), F.substring(s, F.lit(1), at - 1)).otherwise(s)
+    return cut_at_n(F.upper(F.trim(seq)))
 
 
 def read_verdict(seq: Column) -> Column:

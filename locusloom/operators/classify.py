@@ -77,9 +77,11 @@ def evidence(label: Column) -> Column:
 def with_overrides(calls: DataFrame, overrides: DataFrame) -> DataFrame:
     """``calls`` with the class of a matching row of ``overrides`` (identifier, alib, final_class) in place of their own.
 
-    Class names may be spelled in several ways. Two overrides of one key, or an unknown class, are an error.
+    The names of the three classes may be spelled in several ways. Two overrides of one key, or any other name (such
+    as ``pass`` or ``1``), are an error.
     """
-    named = overrides.select("identifier", "alib", final_class(F.col("final_class")).alias("__class"))
+    spelled = F.regexp_replace(F.lower(F.trim("final_class")), "[_ ]", "-")
+    named = overrides.select("identifier", "alib", F.when(spelled.isin("phas", "phas-like", "non-phas"), final_class(F.col("final_class"))).alias("__class"))
     once = named.groupBy("identifier", "alib").agg(F.count(F.lit(1)).alias("__n"), F.first("__class").alias("__class"))
     checked = once.select("identifier", "alib", F.when((F.col("__n") == 1) & F.col("__class").isNotNull(), F.col("__class")).otherwise(F.raise_error(F.lit("an override is repeated or names no class"))).alias("__class"))
     out = calls.join(checked, ["identifier", "alib"], "left")

@@ -36,6 +36,79 @@ def combined_loci(preferred: DataFrame, other: DataFrame, pairs: DataFrame, run:
     return preferred.withColumn("origin", F.lit("preferred")).unionByName(alone.withColumn("origin", F.lit("other_only")))
 
 
+_RUNS = ("run_a", "run_b")
+
+
+def preferred_run(prefer: str, pooled_a: bool, pooled_b: bool) -> str:
+    """``run_a`` or ``run_b`` as given; with ``auto`` the run that is not pooled, and the first one if both are alike."""
+    asked = prefer.strip().lower().replace("-", "_")
+    named = {"a": "run_a", "run_a": "run_a", "b": "run_b", "run_b": "run_b"}
+    if asked == "auto":
+        return "run_b" if pooled_a and not pooled_b else "run_a"
+    if asked not in named:
+        raise ValueError("prefer auto, run_a or run_b")
+    return named[asked]
+
+
+def source_map(a: DataFrame, b: DataFrame, pairs: DataFrame, run: Sequence[str], prefer: str = "run_a") -> DataFrame:
+    """One row for each combined locus and each locus behind it: itself, and those of the other run that overlap it.
+
+    ``a`` and ``b`` have ``run``, ``chromosome``, ``identifier``, ``start`` and ``end``; ``pairs`` are their overlaps as
+    :func:`run_overlaps` gives them. All loci of the preferred run are combined loci, and those of the other run that
+    overlap none. ``category`` is ``shared``, ``run_a_only`` or ``run_b_only``; ``overlap_nt`` counts shared positions.
+    """
+    first, second = (a, b) if prefer == "run_a" else (b, a)
+    mine, theirs = ("a", "b") if prefer == "run_a" else ("b", "a")
+    other = _RUNS[1 - _RUNS.index(prefer)]
+    run = list(run)
+    combined = [F.col(f"{c}_{mine}").alias(f"combined_{c}") for c in ("id", "start", "end")]
+    support = pairs.select(
+        *run, "chromosome", *combined, F.lit("shared").alias("category"), F.lit(other).alias("source_run"),
+        *(F.col(f"{c}_{theirs}").alias(f"source_{c}") for c in ("id", "start", "end")), F.lit(False).alias("is_representative"), "overlap_nt",
+    )
+
+    def alone(loci: DataFrame, side: str, name: str) -> DataFrame:
+        met = pairs.select(*run, F.col(f"id_{side}").alias("identifier")).distinct().withColumn("__met", F.lit(True))
+        rows = loci.join(met, [*run, "identifier"], "left")
+        place = {"id": "identifier", "start": "start", "end": "end"}
+        return rows.select(
+            *run, "chromosome", *(F.col(v).alias(f"combined_{c}") for c, v in place.items()), F.when(F.col("__met"), "shared").otherwise(f"{name}_only").alias("category"),
+            F.lit(name).alias("source_run"), *(F.col(v).alias(f"source_{c}") for c, v in place.items()), F.lit(True).alias("is_representative"), (F.col("end") - F.col("start") + 1).alias("overlap_nt"),
+        )
+
+    rest = alone(second, theirs, other).where("category <> 'shared'")
+    return alone(first, mine, prefer).unionByName(rest).unionByName(support)
+
+
+def combined_rows(sources: DataFrame, run: Sequence[str]) -> DataFrame:
+    """The combined loci of a :func:`source_map`, with how many loci of each run stand behind them."""
+    keys = [*run, "chromosome", "combined_id", "combined_start", "combined_end", "category"]
+    counts = (F.count_if(F.col("source_run") == r).alias(f"{r}_loci") for r in _RUNS)
+    return sources.groupBy(*keys).agg(F.max(F.when(F.col("is_representative"), F.col("source_run"))).alias("representative_run"), *counts)
+
+
+def comparison_summary(a: DataFrame, b: DataFrame, pairs: DataFrame, sources: DataFrame, run: Sequence[str]) -> DataFrame:
+    """Per comparison: loci of both runs, overlapping pairs, combined loci by category, and how many loci were collapsed."""
+    run = list(run)
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    count = lambda rows, name: rows.groupBy(*run).agg(F.count(F.lit(1)).alias(name))
+    kept = sources.where("is_representative").groupBy(*run).agg(
+        F.count(F.lit(1)).alias("combined_loci"), *(F.count_if(F.col("category") == c).alias(f"{c}_loci") for c in ("shared", "run_a_only", "run_b_only"))
+    )
+    out = kept.join(count(a, "input_loci_a"), run, "left").join(count(b, "input_loci_b"), run, "left").join(count(pairs, "overlap_pairs"), run, "left")
+    out = out.select(*run, *(zero(c) for c in ("input_loci_a", "input_loci_b", "overlap_pairs")), "shared_loci", "run_a_only_loci", "run_b_only_loci", "combined_loci")
+    return out.withColumn("collapsed_source_loci", F.col("input_loci_a") + F.col("input_loci_b") - F.col("combined_loci"))
+
+
+def canonical_rows(table_a: DataFrame, table_b: DataFrame, sources: DataFrame, run: Sequence[str]) -> DataFrame:
+    """Rows of both runs' tables (of one schema, with ``identifier``) whose locus stands for a combined one, with ``source_run``."""
+    if sorted(table_a.columns) != sorted(table_b.columns):
+        raise ValueError(f"the tables differ in columns: {sorted(set(table_a.columns) ^ set(table_b.columns))}")
+    chosen = sources.where("is_representative").select(*run, "source_run", F.col("source_id").alias("identifier")).distinct()
+    both = table_a.withColumn("source_run", F.lit("run_a")).unionByName(table_b.withColumn("source_run", F.lit("run_b")))
+    return both.join(chosen, [*run, "source_run", "identifier"], "left_semi")
+
+
 def share(a: Column, b: Column) -> Column:
     """``a / (a + b)``, 0 where both are 0."""
     return F.coalesce(F.try_divide(a, a + b), F.lit(0.0))

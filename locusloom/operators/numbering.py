@@ -33,3 +33,18 @@ def grid(cells: DataFrame, row: str, column: str, value: str, columns: Sequence[
     """
     out = cells.groupBy(row).agg(*(F.min(F.when(F.col(column) == c, F.col(value))).alias(c) for c in columns))
     return out.fillna(fill, list(columns)) if fill is not None else out
+
+
+def absent_cell(phase: int) -> int:
+    """What a library without a call of a locus counts as: nothing, but a call that is not PHAS at phase 24."""
+    return 1 if phase == 24 else 0
+
+
+def dense_cells(cells: DataFrame, every: DataFrame, row: str, column: str, value: str, fill: int) -> DataFrame:
+    """``cells`` with a row for each of their ``row`` values by each ``column`` value of ``every``; absent ones are ``fill``.
+
+    The distinct columns (libraries) are one list, which goes to every row value; cells find their place by a join.
+    """
+    names = every.groupBy(F.lit(1).alias("__one")).agg(F.collect_set(column).alias("__names"))
+    rows = cells.select(row).distinct().withColumn("__one", F.lit(1)).join(names, "__one").select(row, F.explode("__names").alias(column))
+    return rows.join(cells, [row, column], "left").withColumn(value, F.coalesce(value, F.lit(fill)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from locusloom.functions.loci import gff_attributes, known, locus_parts
 from locusloom.operators import classify as CL
 from locusloom.operators import features as FE
+from locusloom.operators.numbering import absent_cell, dense_cells
 from locusloom.operators.windows import cluster_scores, score_cutoff
 from locusloom.plans.common import PHASE, READS, reads
 from locusloom.session import table
@@ -123,6 +124,24 @@ def v1_report_cells(spark: SparkSession, d: str) -> DataFrame:
     return _report(spark, d).groupBy("identifier", "alib").agg(F.min(F.when(F.col("final_class") == "PHAS", 2).otherwise(1)).alias("cell"))
 
 
+def v1_report_grid(spark: SparkSession, d: str) -> DataFrame:
+    """The dense report: each identifier with a PHAS call by each library, 0 where the library has no cell."""
+    calls = _calls(spark, d)
+    return dense_cells(v1_report_cells(spark, d), calls, "identifier", "alib", "cell", absent_cell(PHASE))
+
+
+def j12_plot_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Aligned tags of each PHAS call: those of its cluster, and only where there are none those of its identifier."""
+    calls = f11_evidence(spark, d).where("final_class = 'PHAS'")
+    best = w8_best_rows(spark, d).join(calls, ["identifier", "alib"]).select("identifier", "alib", "cID")
+    rows = reads(spark, d).groupBy("clusterID", "identifier").agg(F.count(F.lit(1)).alias("n"), F.sum("abun").alias("abun"))
+    sums = lambda key: rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.sum("n").alias("n"), F.sum("abun").alias("abun"))
+    by_cluster = best.join(sums("clusterID"), F.col("cID") == F.col("__k"), "left").drop("__k")
+    found = by_cluster.where("n is not null").select("identifier", "alib", F.lit("cluster").alias("by"), "n", "abun")
+    rest = by_cluster.where("n is null").select("identifier", "alib").join(sums("identifier"), F.col("identifier") == F.col("__k"))
+    return found.unionByName(rest.select("identifier", "alib", F.lit("identifier").alias("by"), "n", "abun"))
+
+
 def v2_abundance_cells(spark: SparkSession, d: str) -> DataFrame:
     """Normalised and total abundance (logarithm, 0 as the least) of PHAS cells."""
     rows = _report(spark, d).where("final_class = 'PHAS'")
@@ -170,7 +189,7 @@ QUERIES = {
     for f in (
         a13_cluster_features, a14_phase_positions, w8_best_rows, w9_longest_empty_run, j4_identifiers, j6_feature_scores, f10_filtered_labels,
         f11_evidence, j11_overrides, n13_mixture_labels, a16_mixture_means, a17_detections, a22_pooled, a25_scaled, k6_gff_lines,
-        v1_report_cells, v2_abundance_cells, v3_total_abundance_cells, v4_peak_cells, v5_abundance_track, f13_plot_sources,
+        v1_report_cells, v1_report_grid, j12_plot_rows, v2_abundance_cells, v3_total_abundance_cells, v4_peak_cells, v5_abundance_track, f13_plot_sources,
     )
 }
 
@@ -223,6 +242,12 @@ CASE WHEN Howell_origin_class = 'ambiguous_origin' AND pk >= 20 THEN 'manual_ove
 SELECT identifier, concat_ws(chr(9), split_part(identifier, ':', 1), 'locusloom', '21-PHAS', split_part(split_part(identifier, ':', 2), '..', 1), split_part(identifier, '..', 2), '.', '.', '.',
   'ID=' || identifier || ';library=' || alib || ';cluster=' || cID) AS line FROM b""",
     "v1_report_cells": f"WITH {_REPORT} SELECT identifier, alib, min(CASE final_class WHEN 'PHAS' THEN 2 ELSE 1 END) AS cell FROM rep GROUP BY 1, 2",
+    "v1_report_grid": f"""WITH {_REPORT}, c AS (SELECT identifier, alib, min(CASE final_class WHEN 'PHAS' THEN 2 ELSE 1 END) AS cell FROM rep GROUP BY 1, 2)
+SELECT i.identifier, l.alib, coalesce(cell, 0) AS cell FROM (SELECT DISTINCT identifier FROM rep) i CROSS JOIN (SELECT DISTINCT alib FROM calls) l LEFT JOIN c ON c.identifier = i.identifier AND c.alib = l.alib""",
+    "j12_plot_rows": f"""WITH {READS}, {_CALLS}, p AS (SELECT identifier, alib, cID FROM calls WHERE final_class = 'PHAS'),
+bc AS (SELECT clusterID, count(*) AS n, CAST(sum(abun) AS BIGINT) AS abun FROM reads WHERE clusterID IS NOT NULL GROUP BY 1), bi AS (SELECT identifier, count(*) AS n, CAST(sum(abun) AS BIGINT) AS abun FROM reads WHERE identifier IS NOT NULL GROUP BY 1)
+SELECT p.identifier, p.alib, CASE WHEN bc.n IS NOT NULL THEN 'cluster' ELSE 'identifier' END AS "by", coalesce(bc.n, bi.n) AS n, CASE WHEN bc.n IS NOT NULL THEN bc.abun ELSE bi.abun END AS abun
+FROM p LEFT JOIN bc ON bc.clusterID = p.cID LEFT JOIN bi ON bi.identifier = p.identifier WHERE bc.n IS NOT NULL OR bi.n IS NOT NULL""",
     "v2_abundance_cells": f"""WITH {_REPORT} SELECT identifier, alib, max({_N('log_clust_len_norm_counts')}) AS clnc,
 round(max(log10(CASE WHEN coalesce({_N('total_abund')}, 0) > 0 THEN total_abund ELSE 1e-10 END)), 9) AS log_total FROM rep WHERE final_class = 'PHAS' GROUP BY 1, 2""",
     "v3_total_abundance_cells": f"""WITH {_REPORT}, t AS (SELECT *, log10(CASE WHEN coalesce({_N('total_abund')}, 0) > 0 THEN total_abund ELSE 1e-10 END) AS v FROM rep)

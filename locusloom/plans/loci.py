@@ -11,6 +11,7 @@ from locusloom.operators.overlaps import overlap_groups, overlap_join
 from locusloom.plans.common import BUFFER, READS
 from locusloom.plans.reads import a10_cluster_loci
 from locusloom.session import table
+from locusloom.sources.alignments import parse_calls
 
 FLANK = 250
 _RUN = ["comparison_id"]
@@ -90,6 +91,43 @@ def a20_overlap_audit(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _sources(spark: SparkSession, d: str, prefer: str = "run_a") -> DataFrame:
+    a, b = _loci(spark, d, "run_a"), _loci(spark, d, "run_b")
+    return CP.source_map(a, b, CP.run_overlaps(a, b, _KEYS), _RUN, prefer)
+
+
+def k8_source_map(spark: SparkSession, d: str) -> DataFrame:
+    """Combined loci of each comparison with the loci of either run behind them."""
+    return _sources(spark, d)
+
+
+def k8_combined_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Combined loci of each comparison where the second run is preferred, with their category and support."""
+    return CP.combined_rows(_sources(spark, d, "run_b"), _RUN)
+
+
+def k8_summary(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _loci(spark, d, "run_a"), _loci(spark, d, "run_b")
+    pairs = CP.run_overlaps(a, b, _KEYS)
+    return CP.comparison_summary(a, b, pairs, CP.source_map(a, b, pairs, _RUN), _RUN)
+
+
+def k8_canonical_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the loci as they were loaded that stand for a combined locus."""
+    rows = table(spark, d, "locus").where("identifier is not null")
+    run = lambda r: rows.where(F.col("run") == r).drop("run")
+    return CP.canonical_rows(run("run_a"), run("run_b"), _sources(spark, d), _RUN).groupBy("comparison_id", "source_run", "identifier").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def s14_text_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a table of calls with the loci as they were loaded, read back as half-open intervals; bad rows are skipped."""
+    loci = table(spark, d, "locus")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    header = "identifier\talib\tachr\tstart\tend"
+    lines = loci.select(F.concat_ws("\t", text("identifier"), text("run"), text("chromosome"), text("start"), text("end")).alias("value"))
+    return parse_calls(lines, header).distinct()
+
+
 def j10_matches(spark: SparkSession, d: str) -> DataFrame:
     """Calls of the first run against the loci of the second, within a flank."""
     return CP.match_calls(_loci(spark, d, "run_a"), _loci(spark, d, "run_b"), _KEYS, FLANK)
@@ -117,7 +155,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         j2_locus_groups, a23_group_members, j2_locus_pairs, j8_run_overlaps, a20_overlap_shapes, j9_unmatched, u6_combined_loci,
-        a21_combined_summary, a20_overlap_audit, j10_matches, a19_match_metrics, u5_shared_contigs, u4_absent_partners,
+        a21_combined_summary, k8_source_map, k8_combined_rows, k8_summary, k8_canonical_rows, s14_text_calls, a20_overlap_audit, j10_matches, a19_match_metrics, u5_shared_contigs, u4_absent_partners,
     )
 }
 
@@ -139,7 +177,23 @@ m AS (SELECT * FROM t UNION ALL
 SELECT comparison_id, chromosome, 'FP', identifier, NULL, NULL, NULL FROM c WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.comparison_id = c.comparison_id AND t.chromosome = c.chromosome AND t.id_a = c.identifier) UNION ALL
 SELECT comparison_id, chromosome, 'FN', NULL, identifier, s, e FROM r WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.comparison_id = r.comparison_id AND t.chromosome = r.chromosome AND t.start_b = r.s AND t.end_b = r.e))"""
 
+_SOURCES = lambda mine, theirs: f"""{_AB}, met AS (SELECT DISTINCT comparison_id, 'run_a' AS run, id_a AS identifier FROM pairs UNION SELECT DISTINCT comparison_id, 'run_b', id_b FROM pairs),
+one AS (SELECT l.*, m.identifier IS NOT NULL AS hit FROM l LEFT JOIN met m ON m.comparison_id = l.comparison_id AND m.run = l.run AND m.identifier = l.identifier WHERE l.run IN ('run_a', 'run_b')),
+src AS (SELECT comparison_id, chromosome, identifier AS combined_id, s AS combined_start, e AS combined_end, CASE WHEN hit THEN 'shared' ELSE run || '_only' END AS category, run AS source_run,
+    identifier AS source_id, s AS source_start, e AS source_end, true AS is_representative, e - s + 1 AS overlap_nt FROM one WHERE run = 'run_{mine}' OR NOT hit
+  UNION ALL SELECT comparison_id, chromosome, id_{mine}, start_{mine}, end_{mine}, 'shared', 'run_{theirs}', id_{theirs}, start_{theirs}, end_{theirs}, false, overlap_nt FROM pairs)"""
+
 SQL = {
+    "k8_source_map": f"WITH {_SOURCES('a', 'b')} SELECT * FROM src",
+    "k8_combined_rows": f"""WITH {_SOURCES('b', 'a')} SELECT comparison_id, chromosome, combined_id, combined_start, combined_end, category, max(source_run) FILTER (WHERE is_representative) AS representative_run,
+  count(*) FILTER (WHERE source_run = 'run_a') AS run_a_loci, count(*) FILTER (WHERE source_run = 'run_b') AS run_b_loci FROM src GROUP BY ALL""",
+    "k8_summary": f"""WITH {_SOURCES('a', 'b')}, k AS (SELECT comparison_id, count(*) AS n, count(*) FILTER (WHERE category = 'shared') AS sh, count(*) FILTER (WHERE category = 'run_a_only') AS oa, count(*) FILTER (WHERE category = 'run_b_only') AS ob
+  FROM src WHERE is_representative GROUP BY 1), c AS (SELECT comparison_id, count(*) FILTER (WHERE run = 'run_a') AS a, count(*) FILTER (WHERE run = 'run_b') AS b FROM l GROUP BY 1), q AS (SELECT comparison_id, count(*) AS p FROM pairs GROUP BY 1)
+SELECT comparison_id, a AS input_loci_a, b AS input_loci_b, coalesce(p, 0) AS overlap_pairs, sh AS shared_loci, oa AS run_a_only_loci, ob AS run_b_only_loci, n AS combined_loci, a + b - n AS collapsed_source_loci
+FROM k JOIN c USING (comparison_id) LEFT JOIN q USING (comparison_id)""",
+    "k8_canonical_rows": f"""WITH {_SOURCES('a', 'b')} SELECT comparison_id, run AS source_run, identifier, count(*) AS rows FROM locus
+WHERE EXISTS (SELECT 1 FROM src WHERE is_representative AND src.comparison_id = locus.comparison_id AND source_run = run AND source_id = locus.identifier) GROUP BY 1, 2, 3""",
+    "s14_text_calls": """SELECT DISTINCT coalesce(identifier, '') AS identifier, coalesce(run, '') AS alib, coalesce(chromosome, '') AS chromosome, "start" - 1 AS "start", "end" FROM locus WHERE "start" IS NOT NULL AND "end" IS NOT NULL""",
     "j2_locus_groups": f"{_GROUPS} SELECT * FROM x",
     "a23_group_members": f"{_GROUPS} SELECT identifier, count(DISTINCT clusterID) AS members, min(clusterID) AS first_member, max(clusterID) AS last_member FROM x GROUP BY 1",
     "j2_locus_pairs": f"""WITH {_L10} SELECT a.chromosome, a.clusterID AS cluster_a, b.clusterID AS cluster_b, greatest(0, least(a.e, b.e) - greatest(a.s, b.s) + 1) AS overlap_nt

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusloom.config import Params
-from locusloom.functions.loci import locus_id, per_ten_million
+from locusloom.functions.loci import locus_id, locus_parts, per_ten_million
 from locusloom.operators import classify as CL
 from locusloom.operators import clusters as C
 from locusloom.operators import compare as CP
@@ -121,6 +121,52 @@ def classify(scored: DataFrame, p: Params, overrides: DataFrame | None = None) -
     return calls(saved(feature_table(saved(identified(scored, p), "identified"), p), "features"), p, overrides)
 
 
+def result_tables(called: DataFrame) -> dict[str, DataFrame]:
+    """The outputs of a classification: all clusters, the calls by class, and what decided each class."""
+    evidence = [c for c in ("identifier", "cID", "alib", "label", "final_class", "evidence_reason") if c in called.columns]
+    scores = [c for c in called.columns if c.startswith(("Howell_", "Peak_"))]
+    return {
+        "calls": called, "phas_calls": called.where("final_class = 'PHAS'"), "phas_like_calls": called.where("final_class = 'PHAS-like'"),
+        "classification_evidence": called.select(*evidence, *scores, *(c for c in ("complexity", "phase_score") if c in called.columns)),
+    }
+
+
+def compare_calls(a: DataFrame, b: DataFrame, buffer: int = 0, prefer: str = "auto", labels: tuple[str, str] = ("run_a", "run_b")) -> dict[str, DataFrame]:
+    """The bundle of two runs' tables of calls: combined loci by category, their sources, overlaps, kept rows and summary.
+
+    Only PHAS calls take part. The tables must have the same columns; labels must differ and not be blank.
+    """
+    if buffer < 0 or len({name.strip() for name in labels} - {""}) < 2:
+        raise ValueError("the buffer must not be negative, and both labels must be there and differ")
+    if sorted(a.columns) != sorted(b.columns):
+        raise ValueError(f"the tables differ in columns: {sorted(set(a.columns) ^ set(b.columns))}")
+    run, keys = ["run"], ["run", "chromosome"]
+    pooled = [bool(df.agg(F.coalesce(F.bool_and(F.col("alib") == "ALL_LIBS"), F.lit(False))).first()[0]) for df in (a, b)]
+    chosen = CP.preferred_run(prefer, *pooled)
+
+    def loci(df: DataFrame) -> DataFrame:
+        contig, start, end = locus_parts(F.col("identifier"))
+        return df.where("final_class = 'PHAS'").select(F.lit(1).alias("run"), contig.alias("chromosome"), "identifier", start.alias("start"), end.alias("end")).dropna().distinct()
+
+    mine, theirs = saved(loci(a), "loci-a"), saved(loci(b), "loci-b")
+    pairs = saved(CP.run_overlaps(mine, theirs, keys, buffer), "pairs")
+    sources = saved(CP.source_map(mine, theirs, pairs, run, chosen), "sources")
+    named = F.when(F.col("source_run") == "run_a", labels[0]).otherwise(labels[1])
+    combined = CP.combined_rows(sources, run).drop("run")
+    summary = CP.comparison_summary(mine, theirs, pairs, sources, run).drop("run")
+    facts = {"label_a": labels[0], "label_b": labels[1], "mode_a": _mode(pooled[0]), "mode_b": _mode(pooled[1]), "preferred_run": chosen, "overlap_buffer": buffer}
+    phas = lambda df: df.where("final_class = 'PHAS'").withColumn("run", F.lit(1))
+    only = {f"{c}_loci": combined.where(F.col("category") == c) for c in ("shared", "run_a_only", "run_b_only")}
+    return {
+        "combined": combined, **only, "source_locus_map": sources.drop("run").withColumn("source_label", named), "overlaps": CP.overlap_shapes(pairs, run).drop("run"),
+        "calls": CP.canonical_rows(phas(a), phas(b), sources, run).drop("run"), "summary": summary.withColumns({n: F.lit(v) for n, v in facts.items()}),
+    }
+
+
+def _mode(pooled: bool) -> str:
+    return "pooled" if pooled else "non-pooled"
+
+
 def compare(a: DataFrame, b: DataFrame, keys: list[str], buffer: int = 0, prefer: str = "run_a") -> dict[str, DataFrame]:
     """Overlaps of two runs with their shapes, and the union that keeps the preferred run's loci."""
     if prefer not in ("run_a", "run_b"):

@@ -39,6 +39,34 @@ def s3_fastq_reads(spark: SparkSession, d: str) -> DataFrame:
     return RD.clean_fastq(RD.parse_fastq(records.select("file", (F.col("record") * 4 + F.col("k")).alias("line_no"), "value")))
 
 
+def _fasta_records(tags: DataFrame) -> DataFrame:
+    """FASTA records of the tags as they are spelled, in lines of 10."""
+    lines = F.regexp_replace("tag_seq", "(.{10})", "$1\n")
+    return tags.where("tag_seq is not null").select(F.concat_ws("\n", F.coalesce("tag_id", F.lit("none")), lines).alias("value"))
+
+
+def f2_fasta_variant(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned reads of a FASTA of all tags as they are spelled, over several lines, in their own case."""
+    return RD.parse_fasta_variant(_fasta_records(table(spark, d, "phas_to_detect")))
+
+
+def k11_fastq_to_fasta(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of the FASTA made of a FASTQ of all tags, counted."""
+    tags = table(spark, d, "phas_to_detect").where("tag_seq is not null and tag_id is not null").select("tag_id", "tag_seq", F.monotonically_increasing_id().alias("record"))
+    four = F.array(F.concat(F.lit("@"), "tag_id"), F.col("tag_seq"), F.lit("+"), F.regexp_replace("tag_seq", ".", "I"))
+    lines = tags.select("record", F.posexplode(four).alias("k", "value")).select((F.col("record") * 4 + F.col("k")).alias("line_no"), "value")
+    return RD.parse_fasta_reads(SK.fastq_to_fasta(lines))
+
+
+def k12_renamed_contigs(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the loci under the number of their contig in place of its name."""
+    loci, contigs = table(spark, d, "locus").where("chromosome is not null"), table(spark, d, "contigs")
+    numbers = contigs.select("old_id", "clean_id").join(m1_contig_numbers(spark, d), "clean_id").select("old_id", F.col("number").alias("new_id"))
+    records = loci.select(F.concat(F.lit(" "), "chromosome", F.lit(" locus\n"), F.coalesce("identifier", F.lit(""))).alias("value"))
+    back = SK.renamed_fasta(records, numbers)
+    return back.groupBy(F.substring_index("value", "\n", 1).alias("header")).agg(F.count(F.lit(1)).alias("records"), F.count_distinct(F.substring_index("value", "\n", -1)).alias("bodies"))
+
+
 def s4_counted_fasta(spark: SparkSession, d: str) -> DataFrame:
     lines = SK.counted_fasta(_tags(spark, d).withColumn("tag_id", F.concat(F.lit("seq_"), F.length("tag_seq").cast("string"))))
     return RD.parse_counted_fasta(lines.select(F.expr("substring(value, 2)").alias("value")))
@@ -105,7 +133,7 @@ def m1_contig_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (s1_tag_counts, s2_fasta_reads, s3_fastq_reads, s4_counted_fasta, s7_reference, s9_sam_alignments, s9_sam_round_trip, s10_cluster_blocks, s13_annotation, s17_id_map, k10_expanded_copies, m1_contig_numbers)
+    for f in (s1_tag_counts, s2_fasta_reads, s3_fastq_reads, f2_fasta_variant, k11_fastq_to_fasta, k12_renamed_contigs, s4_counted_fasta, s7_reference, s9_sam_alignments, s9_sam_round_trip, s10_cluster_blocks, s13_annotation, s17_id_map, k10_expanded_copies, m1_contig_numbers)
 }
 
 _TAGS = f"{READS}, tags AS (SELECT tag_seq, CAST(sum(abun) AS BIGINT) AS abun FROM reads WHERE tag_seq IS NOT NULL AND abun IS NOT NULL GROUP BY 1)"
@@ -116,6 +144,14 @@ SQL = {
     "s3_fastq_reads": """WITH t AS (SELECT upper(trim(tag_seq)) AS q FROM phas_to_detect WHERE tag_seq IS NOT NULL AND tag_id IS NOT NULL),
 c AS (SELECT CASE WHEN instr(q, 'N') > 0 AND instr(q, 'N') <= length(q) // 2 THEN substring(q, 1, instr(q, 'N') - 1) ELSE q END AS s FROM t)
 SELECT s AS tag_seq, count(*) AS abun FROM c WHERE regexp_full_match(s, '[ACGT]*') AND length(s) BETWEEN 18 AND 35 GROUP BY 1""",
+    "f2_fasta_variant": """WITH t AS (SELECT regexp_replace(tag_seq, '^\\s+|\\s+$', '', 'g') AS q, tag_seq FROM phas_to_detect WHERE tag_seq IS NOT NULL),
+c AS (SELECT CASE WHEN instr(q, 'N') > 0 AND instr(q, 'N') <= length(q) // 2 THEN substring(q, 1, instr(q, 'N') - 1) ELSE q END AS s FROM t)
+SELECT s AS tag_seq, count(*) AS abun FROM c WHERE instr(s, 'N') = 0 AND length(s) BETWEEN 18 AND 35 GROUP BY 1""",
+    "k11_fastq_to_fasta": "SELECT trim(tag_seq) AS tag_seq, count(*) AS abun FROM phas_to_detect WHERE tag_id IS NOT NULL AND trim(tag_seq) <> '' GROUP BY 1",
+    "k12_renamed_contigs": """WITH u AS (SELECT DISTINCT clean_id FROM locus JOIN contigs ON chromosome = old_id), c AS (SELECT clean_id, min(ord) AS ord FROM contigs WHERE clean_id IN (SELECT clean_id FROM u) GROUP BY 1),
+o AS (SELECT *, TRY_CAST(regexp_extract(clean_id, '^(chr)?0*([1-9][0-9]*)$', 2) AS BIGINT) AS own FROM c),
+n AS (SELECT clean_id, coalesce(own, coalesce(max(own) OVER (), 0) + row_number() OVER (PARTITION BY own IS NULL ORDER BY ord, clean_id)) AS number FROM o)
+SELECT '>' || number AS header, count(*) AS records, count(DISTINCT coalesce(identifier, '')) AS bodies FROM locus JOIN contigs ON chromosome = old_id JOIN n USING (clean_id) GROUP BY 1""",
     "s4_counted_fasta": f"WITH {_TAGS} SELECT 'seq_' || length(tag_seq) AS tag_id, tag_seq, abun FROM tags",
     "s7_reference": """WITH t AS (SELECT 'doc' || doc_id AS old_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS q FROM documents WHERE text IS NOT NULL)
 SELECT old_id, CAST(length(q) AS INT) AS len, md5(q) AS digest FROM t WHERE length(q) > 200""",

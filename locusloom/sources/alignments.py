@@ -100,3 +100,37 @@ def read_result_table(spark: SparkSession, path: str, required: list[str]) -> Da
         raise ValueError(f"{path}: columns {names} lack some of {required}, or repeat")
     schema = ", ".join(f"`{n}` string" for n in names)
     return spark.read.option("sep", "\t").option("header", True).option("quote", "").schema(schema).csv(path)
+
+
+CALL_COLUMNS = ["identifier", "alib", "achr", "start", "end"]
+OVERRIDE_COLUMNS = ["identifier", "alib", "final_class"]
+
+
+def parse_calls(lines: DataFrame, header: str, one_based: bool = True) -> DataFrame:
+    """``identifier``, ``alib``, ``chromosome``, ``start`` and ``end`` (half-open, from 0) of the rows below ``header``.
+
+    A header without one of ``CALL_COLUMNS`` is an error; rows whose positions cannot be read are skipped.
+    """
+    names = header.split("\t")
+    if missing := set(CALL_COLUMNS) - set(names):
+        raise ValueError(f"columns {sorted(missing)} are missing")
+    f = F.split("value", "\t")
+    text = {n: F.get(f, F.lit(names.index(n))) for n in CALL_COLUMNS}
+    number = lambda n: F.trim(text[n]).try_cast("long")
+    rows = lines.where(F.col("value") != header).select(
+        text["identifier"].alias("identifier"), text["alib"].alias("alib"), text["achr"].alias("chromosome"), (number("start") - int(one_based)).alias("start"), number("end").alias("end")
+    )
+    return rows.dropna(subset=["chromosome", "start", "end"])
+
+
+def read_calls(spark: SparkSession, path: str, one_based: bool = True) -> DataFrame:
+    """:func:`parse_calls` of a file, or of a folder of files with the same header."""
+    head = spark.read.text(path).head(1)
+    if not head:
+        raise ValueError(f"{path} is empty")
+    return parse_calls(spark.read.text(path), head[0].value, one_based)
+
+
+def read_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """Overrides of classes; without one of ``OVERRIDE_COLUMNS`` an error."""
+    return read_result_table(spark, path, OVERRIDE_COLUMNS)

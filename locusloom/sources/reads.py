@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.functions.sequences import chop_at_n, read_verdict
+from locusloom.functions.sequences import MAX_READ, MIN_READ, chop_at_n, cut_at_n, read_verdict
 from locusloom.sources.lines import chunks, numbered_lines
 
 
@@ -22,6 +22,19 @@ def parse_fasta_reads(lines: DataFrame, least: int = 1) -> DataFrame:
     return rows.groupBy(F.trim("value").alias("tag_seq")).agg(F.count(F.lit(1)).alias("abun")).where(F.col("abun") >= least)
 
 
+def parse_fasta_variant(records: DataFrame) -> DataFrame:
+    """``tag_seq`` and ``abun`` of FASTA records whose sequences may run over lines, cleaned without a change of case.
+
+    The lines of a record are joined, cut before the first ``N`` of the first half, and kept at 18 to 35 letters
+    without another ``N``; no other letter is looked at.
+    """
+    lines = F.split(F.expr("substring(value, instr(value, '\n') + 1)"), "\n")
+    joined = F.array_join(F.transform(lines, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), "")
+    rows = records.where(F.instr("value", "\n") > 0).select(cut_at_n(joined).alias("tag_seq"))
+    kept = rows.where(F.length("tag_seq").between(MIN_READ, MAX_READ) & (F.instr("tag_seq", "N") == 0))
+    return kept.groupBy("tag_seq").agg(F.count(F.lit(1)).alias("abun"))
+
+
 def parse_counted_fasta(records: DataFrame) -> DataFrame:
     """``tag_id``, ``tag_seq`` and ``abun`` of ``name|count`` headers and their sequences.
 
@@ -98,6 +111,9 @@ def sniff(spark: SparkSession, path: str) -> str:
 
 
 def looks_raw(spark: SparkSession, path: str, sample: int = 1000, longest: int = 35, share: float = 0.8) -> bool:
-    """True if most of the first reads are longer than small RNAs: adapters were not trimmed."""
-    reads = numbered_lines(spark, path).where(f"line_no % 4 = 1 and line_no < {4 * sample}")
-    return bool(reads.agg(F.coalesce(F.avg((F.length("value") > longest).cast("double")) >= share, F.lit(False))).first()[0])
+    """True if most of the first ``sample`` reads of a file are longer than small RNAs: adapters were not trimmed.
+
+    Only the head of the file is read; a preflight looks at no more.
+    """
+    reads = [r.value for r in spark.read.text(path).head(4 * sample)][1::4]
+    return bool(reads) and sum(len(r) > longest for r in reads) >= share * len(reads)

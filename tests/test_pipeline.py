@@ -29,6 +29,11 @@ def library(path, seed):
     path.write_text("\n".join(lines) + "\n")
 
 
+def _truth(folder):
+    (folder / "truth.bed").write_text("chr1\t1000\t1100\tt1\nchr5\t1\t9\tt2\n")
+    return folder / "truth.bed"
+
+
 def test_from_alignments_to_calls(spark, tmp_path):
     for i, name in enumerate(("libA", "libB")):
         library(tmp_path / f"{name}.sam", i)
@@ -45,11 +50,28 @@ def test_from_alignments_to_calls(spark, tmp_path):
     assert {r.alib for r in best} == {"libA", "libB"} and len({r.identifier for r in best}) == 1
     assert all(r.Howell_origin_class is not None for r in best)
 
-    main(["compare", str(tmp_path / "c/calls"), str(tmp_path / "c/calls"), "--out", str(tmp_path / "m")], spark)
+    # two libraries are too few for the mixture: the phased locus is named PHAS here
+    named = str(tmp_path / "named")
+    calls.withColumn("final_class", F.when(F.col("Peak_Howell_score") > 20, "PHAS").otherwise("non-PHAS")).write.parquet(named)
+    calls = spark.read.parquet(named)
+    main(["compare", named, named, "--out", str(tmp_path / "m")], spark)
     combined = spark.read.parquet(str(tmp_path / "m/combined"))
-    assert combined.where("origin <> 'preferred'").count() == 0
-    (tmp_path / "truth.bed").write_text("chr1\t1000\t1100\tt1\nchr5\t1\t9\tt2\n")
-    main(["match", str(tmp_path / "c/calls"), str(tmp_path / "truth.bed"), "--out", str(tmp_path / "t"), "--text"], spark)
+    phas = calls.where("final_class = 'PHAS'").select("identifier").distinct().count()
+    assert phas and combined.count() == combined.where("category = 'shared' and representative_run = 'run_a'").count() == phas
+    assert spark.read.parquet(str(tmp_path / "m/run_b_only_loci")).count() == 0
+    summary = spark.read.parquet(str(tmp_path / "m/summary")).first()
+    assert (summary.shared_loci, summary.collapsed_source_loci, summary.mode_a, summary.preferred_run) == (phas, phas, "non-pooled", "run_a")
+    kept = spark.read.parquet(str(tmp_path / "m/calls"))
+    assert set(kept.columns) == {*calls.columns, "source_run"} and kept.where("source_run <> 'run_a'").count() == 0
+    assert spark.read.parquet(str(tmp_path / "c/classification_evidence")).count() == calls.count()
+    with pytest.raises(ValueError):
+        main(["compare", named, named, "--out", f"{named}/x"], spark)
+    with pytest.raises(ValueError):
+        pipeline.compare_calls(calls, calls.drop("complexity"))
+    (tmp_path / "calls.tsv").write_text("identifier\talib\tachr\tstart\tend\nx\tl\tchr1\t1000\t1100\nbad\tl\tchr1\tno\t5\n")
+    main(["match", str(tmp_path / "calls.tsv"), str(_truth(tmp_path)), "--out", str(tmp_path / "t2"), "--text-calls"], spark)
+    assert {r.status for r in spark.read.parquet(str(tmp_path / "t2/matches")).collect()} == {"TP", "FN"}
+    main(["match", str(tmp_path / "c/calls"), str(_truth(tmp_path)), "--out", str(tmp_path / "t"), "--text"], spark)
 
 
 def test_pooled_and_normalised(spark):

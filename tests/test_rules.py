@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from locusloom.functions import loci as L
 from locusloom.operators import clusters as C
 from locusloom.operators.classify import evidence, filtered_label, with_overrides
-from locusloom.operators.compare import combined_loci, overlap_shapes, run_overlaps
+from locusloom.operators.compare import combined_loci, combined_rows, overlap_shapes, preferred_run, run_overlaps, source_map
 from locusloom.operators.contigs import numbered_contigs
+from locusloom.operators.numbering import absent_cell, dense_cells
 from locusloom.operators.windows import score_cutoff, scoring_windows, window_shape
 
 ROW = {
@@ -43,11 +44,35 @@ def test_overrides(spark):
     named = lambda *rows: spark.createDataFrame(rows, "identifier string, alib string, final_class string")
     got = {r.identifier: (r.final_class, r.evidence_reason) for r in with_overrides(calls, named(("i", "l", " Phas_Like "))).collect()}
     assert got == {"i": ("PHAS-like", "manual_override"), "j": ("PHAS", "pass")}
-    for bad in (named(("i", "l", "PHAS"), ("i", "l", "non-PHAS")), named(("i", "l", "what"))):
+    for bad in (named(("i", "l", "PHAS"), ("i", "l", "non-PHAS")), named(("i", "l", "what")), named(("i", "l", "pass")), named(("i", "l", "1"))):
         with pytest.raises(PySparkException, match="override"):
             with_overrides(calls, bad).collect()
 
 
+def test_preferred_run_and_source_map(spark):
+    assert [preferred_run("auto", *p) for p in ((True, False), (False, True), (True, True))] == ["run_b", "run_a", "run_a"]
+    assert preferred_run("B", False, False) == "run_b" and preferred_run("run-a", True, False) == "run_a"
+    with pytest.raises(ValueError):
+        preferred_run("c", False, False)
+    loci = lambda *rows: spark.createDataFrame(rows, "run int, chromosome string, identifier string, start long, end long")
+    a, b = loci((1, "1", "A", 10, 50), (1, "1", "B", 100, 120)), loci((1, "1", "x", 40, 60), (1, "1", "y", 45, 47), (1, "1", "z", 300, 310))
+    pairs = run_overlaps(a, b, ["run", "chromosome"])
+    rows = {(r.combined_id, r.source_id): (r.category, r.source_run, r.is_representative, r.overlap_nt) for r in source_map(a, b, pairs, ["run"]).collect()}
+    assert rows == {
+        ("A", "A"): ("shared", "run_a", True, 41), ("A", "x"): ("shared", "run_b", False, 11), ("A", "y"): ("shared", "run_b", False, 3),
+        ("B", "B"): ("run_a_only", "run_a", True, 21), ("z", "z"): ("run_b_only", "run_b", True, 11),
+    }
+    swapped = combined_rows(source_map(a, b, pairs, ["run"], "run_b"), ["run"]).collect()
+    assert {(r.combined_id, r.category, r.run_a_loci, r.run_b_loci) for r in swapped} == {("x", "shared", 1, 1), ("y", "shared", 1, 1), ("z", "run_b_only", 0, 1), ("B", "run_a_only", 1, 0)}
+
+
+def test_dense_cells(spark):
+    cells = spark.createDataFrame([("i", "l", 2), ("j", "m", 1)], "row string, col string, cell int")
+    every = spark.createDataFrame([("l",), ("m",), ("k",), (None,)], "col string")
+    got = {(r.row, r.col): r.cell for r in dense_cells(cells, every, "row", "col", "cell", absent_cell(24)).collect()}
+    assert got == {("i", "l"): 2, ("i", "m"): 1, ("i", "k"): 1, ("j", "l"): 1, ("j", "m"): 1, ("j", "k"): 1} and absent_cell(21) == 0
+
+
 def test_gap_clusters_over_tiles(spark):
     rows = [("l", p, 1) for p in (1, 10, 15, 40, 64, 65, 200, 230, 500)] + [("m", 7, 1)]
     df = spark.createDataFrame(rows, "k string, pos long, n_reads long")
