@@ -91,7 +91,7 @@ def pack(
         raise ValueError("capacity, max_items and max_cost must be positive")
     kind = df.schema[doc_id].dataType.simpleString()
     items = df.select(F.col(doc_id).alias("doc_id"), F.col(size).cast("long").alias("size")).where("size >= 0")
-    items = _numbered(items.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
+    items = _numbered(saved(items.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n")), "sizes"))  # read twice, measured once
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0)).cast("int")
     pieces = items.withColumn("piece_no", F.explode(F.sequence(F.lit(0), last))).select(
         "doc_id", "copy", "piece_no", (F.col("piece_no").cast("long") * capacity).alias("start_token"),
