@@ -96,44 +96,51 @@ class Ends:
         self.shape = np.where(has, np.where(mark >= 0, points[np.maximum(mark, 0)], 0).astype(np.int64) * BY_MARK + kind * BY_KIND + size + 1, 0)
 
 
+END_COLUMNS = {
+    "has_end": "boolean", "closed": "boolean", "elliptic": "boolean", "left_open": "boolean", "word": "long", "shape": "long",
+    "other_closed": "boolean", "other_elliptic": "boolean", "other_marked": "boolean", "other_shape": "long",
+}
+USE_COLUMNS = {"used_word": "long", "used_ends": "long", "used_goes_on": "long"}
+
+
 def end_measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``END_COLUMNS`` behind the columns of a batch whose last two columns are a text and its other side."""
+    """Of batches whose last two columns are a text and its other side, two kinds of rows.
+
+    One row for each row of the batch: its other columns and ``END_COLUMNS``. And one row for each word of all its texts,
+    with nulls before: ``USE_COLUMNS``, the counts of :func:`word_uses`. So each text is read once for both.
+    """
     for batch in batches:
-        text, other = (Ends(Texts(batch.column(i))) for i in (-2, -1))
+        sides = [Texts(batch.column(i)) for i in (-2, -1)]
+        text, other = map(Ends, sides)
         there = other.at >= 0
         columns = [
             pa.array(text.at >= 0), pa.array(text.closed), pa.array(text.elliptic), pa.array(text.left_open), pa.array(text.word), pa.array(text.shape),
             pa.array(other.closed, mask=~there), pa.array(other.elliptic), pa.array(other.marked), pa.array(other.shape),
         ]
-        kept = batch.num_columns - 2
-        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *columns], names=[*batch.schema.names[:kept], *END_COLUMNS])
+        kept = batch.columns[:-2]
+        uses = word_uses(sides)
+        names = [*batch.schema.names[:-2], *END_COLUMNS, *USE_COLUMNS]
+        rows = [*kept, *columns]
+        yield pa.RecordBatch.from_arrays([*rows, *(pa.nulls(batch.num_rows, u.type) for u in uses)], names=names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(uses[0]), c.type) for c in rows), *uses], names=names)
 
 
-END_COLUMNS = {
-    "has_end": "boolean", "closed": "boolean", "elliptic": "boolean", "left_open": "boolean", "word": "long", "shape": "long",
-    "other_closed": "boolean", "other_elliptic": "boolean", "other_marked": "boolean", "other_shape": "long",
-}
-USES = "word long, ends long, goes_on long"
-
-
-def word_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``word``, ``ends`` and ``goes_on``: how often a word of the batch's texts stands before a closing mark, and before another word.
+def word_uses(sides: list[Texts]) -> list[pa.Array]:
+    """Words, and how often each stands before a closing mark, and before another word.
 
     Closing marks of quotations and white space between them do not matter. A word that ends the text without a mark
-    counts as neither. Each column of the batch is a column of texts; the counts of a batch are summed up.
+    counts as neither.
     """
-    for batch in batches:
-        words, ends, goes = [], [], []
-        for column in batch.columns:
-            texts = Texts(column)
-            skip = _is(texts.points, CLOSERS) | tables()["white"][texts.points]
-            solid = np.where(skip, len(skip), np.arange(len(skip)))
-            ahead = np.append(np.minimum.accumulate(solid[::-1])[::-1], len(skip))
-            follower = np.append(texts.points, 0)[ahead[texts.stop]]
-            end = _is(follower, TERMINAL + ELLIPSIS) & ~texts.initial
-            words.append(_used_as(texts))
-            ends.append(end)
-            goes.append(~end & (follower != 0))
-        distinct, place = np.unique(np.concatenate(words), return_inverse=True)
-        count = lambda hits: np.bincount(place, np.concatenate(hits), len(distinct)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(count(ends)), pa.array(count(goes))], names=["word", "ends", "goes_on"])
+    words, ends, goes = [], [], []
+    for texts in sides:
+        skip = _is(texts.points, CLOSERS) | tables()["white"][texts.points]
+        solid = np.where(skip, len(skip), np.arange(len(skip)))
+        ahead = np.append(np.minimum.accumulate(solid[::-1])[::-1], len(skip))
+        follower = np.append(texts.points, 0)[ahead[texts.stop]]
+        end = _is(follower, TERMINAL + ELLIPSIS) & ~texts.initial
+        words.append(_used_as(texts))
+        ends.append(end)
+        goes.append(~end & (follower != 0))
+    distinct, place = np.unique(np.concatenate(words), return_inverse=True)
+    count = lambda hits: np.bincount(place, np.concatenate(hits), len(distinct)).astype(np.int64)
+    return [pa.array(distinct), pa.array(count(ends)), pa.array(count(goes))]

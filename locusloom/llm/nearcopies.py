@@ -243,7 +243,8 @@ def cut_copies(texts: DataFrame) -> DataFrame:
     """
     rows = saved(texts.select("key", "text").mapInArrow(_band_rows, MEMBER), "bands")
     members = saved(rows.join(rows.where("candidate").select("bucket").distinct(), "bucket", "left_semi"), "members")
-    named = texts.select("key", "text")
+    # the texts of members alone go through the joins of the rounds
+    named = saved(texts.select("key", "text").join(saved(members.select("key").distinct(), "member-keys"), "key", "left_semi"), "member-texts")
     found, waiting = _rounds(members, named, CROWD)
     if not waiting.isEmpty():
         asks = waiting.select("bucket", "key", F.lit(True).alias("asks"))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusloom.llm.endings import BY_KIND, BY_MARK, CAPITAL, END_COLUMNS, USES, end_measures, word_uses
+from locusloom.llm.endings import BY_KIND, BY_MARK, CAPITAL, END_COLUMNS, USE_COLUMNS, end_measures
 from locusloom.llm.nearcopies import cut_copies
 from locusloom.session import saved
 
@@ -105,11 +105,13 @@ def truncated_texts(
         (F.col(other) if other else blank).alias("other"), (F.col(other_score) if other_score else F.lit(None)).cast("double").alias("fit"),
     )
     asked = rows.select("doc_id", "source", F.unhex(F.md5("text")).alias("key"), F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), "fit", "text", "other")
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema[:-2]) + ", " + ", ".join(f"{n} {t}" for n, t in END_COLUMNS.items())
-    ends = saved(asked.mapInArrow(end_measures, kept).where("has_end").withColumn("src", F.coalesce("source", F.lit(""))), "text-ends")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema[:-2])
+    measured = ", ".join(f"{n} {t}" for n, t in (END_COLUMNS | USE_COLUMNS).items())
+    measures = saved(asked.mapInArrow(end_measures, f"{kept}, {measured}").where("has_end or used_word is not null"), "text-ends")
+    ends = measures.where("has_end").drop(*USE_COLUMNS).withColumn("src", F.coalesce("source", F.lit("")))
 
     # how often each closing word ends a sentence in the corpus, on either side
-    uses = rows.select("text", "other").mapInArrow(word_uses, USES).groupBy("word").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"))
+    uses = measures.where("used_word is not null").groupBy(F.col("used_word").alias("word")).agg(F.sum("used_ends").alias("ends"), F.sum("used_goes_on").alias("goes_on"))
     terminal = uses.select("word", F.try_divide(F.col("ends"), F.col("ends") + F.col("goes_on")).alias("terminality"))
     unclosed = ends.where("not closed")
     words = terminal.join(unclosed.select("word").distinct(), "word", "left_semi")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from locusloom.llm.endings import Ends, word_uses
+from locusloom.llm.endings import END_COLUMNS, USE_COLUMNS, Ends, end_measures
 from locusloom.llm.nearcopies import CROWD, cut_copies, ends_early, prefix_bands, run_hashes
 from locusloom.llm.truncation import truncated_texts
 from locusloom.llm.words import Texts
@@ -44,9 +44,13 @@ def test_ends():
     assert heads.shape[0] == heads.shape[1] and len(set(heads.shape.tolist())) == 3
 
 
-def test_word_uses():
-    batch = pa.RecordBatch.from_arrays([pa.array(["A mill. The Mill ”!", "mill", None]), pa.array(["mill here", "K. mill", "7 8."])], names=["t", "o"])
-    rows = {w: (e, g) for w, e, g in zip(*(c.to_pylist() for c in next(word_uses(iter([batch])))))}
+def test_measures_and_word_uses():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["A mill. The Mill ”!", "mill", None]), pa.array(["mill here", "K. mill", "7 8."])], names=["i", "t", "o"])
+    ends, uses = end_measures(iter([batch]))
+    assert ends.schema.names == uses.schema.names == ["i", *END_COLUMNS, *USE_COLUMNS]
+    assert ends.column("i").to_pylist() == [1, 2, 3] and ends.column("closed").to_pylist() == [True, False, False] and ends.column("other_closed").to_pylist() == [False, False, True]
+    assert set(uses.column("i").to_pylist()) == {None} and set(ends.column("used_word").to_pylist()) == {None}
+    rows = {w: (e, g) for w, e, g in zip(*(uses.column(c).to_pylist() for c in USE_COLUMNS))}
     key = Texts(pa.array(["mill"])).hash.view(np.int64)[0]
     assert rows[key] == (2, 1) and rows[1] == (1, 1)  # numbers are one word
 
