@@ -12,7 +12,7 @@ from locusloom.config import Params
 from locusloom.functions.loci import locus_parts
 from locusloom.operators.compare import match_calls, match_metrics
 from locusloom.plans import pipeline
-from locusloom.session import saved, ship_package
+from locusloom.session import saved, scratch, ship_package
 from locusloom.sources.alignments import parse_annotation, parse_sam, read_calls, read_overrides
 from locusloom.sources.sinks import write_table
 
@@ -80,6 +80,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         else:
             df.write.parquet(f"{args.out}/{name}")
 
+    with scratch(spark):
+        _run(args, spark, write)
+
+
+def _run(args: argparse.Namespace, spark: SparkSession, write) -> None:
     if args.step == "find":
         lines = spark.read.text(args.sam).select("value", F.regexp_extract("_metadata.file_name", r"^(.*?)(?:\.sam)?(?:\.gz)?$", 1).alias("alib"))
         p = _given(args)

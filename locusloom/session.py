@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,14 +54,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope at whose end the tables that :func:`saved` wrote in it are removed.
+
+    Results that read them must be written or collected inside. Outside of any scope tables stay until the folder is
+    cleared, as checkpoints do.
+    """
+    held: list[str] = []
+    _scopes.append(held)
+    try:
+        yield
+    finally:
+        _scopes.remove(held)
+        for path in held:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared checkpoint folder, and read again.
 
     Like a checkpoint it cuts the lineage and outlives lost executors; unlike one it brings its true size, by which
-    the next join chooses its strategy.
+    the next join chooses its strategy. :func:`scratch` removes such tables.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/locusloom/{uuid.uuid4().hex}-{name}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -18,3 +18,21 @@ def test_grid(spark):
     got = {r.locus: (r.A, r.B) for r in grid(cells, "locus", "alib", "cell", ["A", "B"], 0).collect()}
     assert got == {"1:1..2": (1, 0), "2:3..4": (0, 2)}
     assert grid(cells, "locus", "alib", "cell", ["B"]).where("B is null").count() == 1
+
+
+def test_scratch_removes_its_tables(spark):
+    from pathlib import Path
+
+    from locusloom.session import ensure_checkpoint_dir, saved, scratch
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "locusloom"
+    tables = lambda: {p.name for p in folder.glob("*-kept")} if folder.exists() else set()
+    before = tables()
+    with scratch(spark):
+        outer = saved(spark.range(3).toDF("i"), "kept")
+        with scratch(spark):
+            assert saved(spark.range(4).toDF("i"), "kept").count() == 4
+        assert outer.count() == 3 and len(tables() - before) == 1
+    assert tables() == before
+    saved(spark.range(1).toDF("i"), "kept")
+    assert len(tables() - before) == 1
