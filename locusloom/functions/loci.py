@@ -31,11 +31,20 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"(?i)\.gz$", ""), r"(?i)\.(fastq|fq|fasta|fa|fas|tag|txt)$", "")
 
 
-def bare_cluster_id(cluster: Column, phase: int) -> Column:
-    """Cluster id without the ``<phase>-PHAS.candidate`` decorations of file names."""
+def bare_cluster_id(cluster: Column, phase: int, library: Column | None = None) -> Column:
+    """Cluster id without the name of its file in front, in the forms in which such names are glued to ids.
+
+    The first form that fits decides. Ids that are places (``contig:start..end``) and all others stay, without white
+    space around.
+    """
     s = F.trim(cluster)
-    s = F.regexp_replace(s, rf"^.*?\.{phase}-PHAS\.candidate(?:\.clusters)?[._-]", "")
-    return F.regexp_replace(s, rf"\.{phase}-PHAS\.candidate(?:\.clusters)?$", "")
+    # fixed values: the forms of file names, in their order
+    forms = [rf"^[^.]+\.{phase}-PHAS\.candidate\.clusters[^-]*-(.+)$", rf"\.{phase}-PHAS\.candidate\.clusters(.+)$", r"^.+?\.PHAS\.candidate\.clusters[^-]*-(.+)$", r"^.+?\.PHAS\.candidate\.clusters(.+)$"]
+    bare = [F.nullif(F.regexp_extract(s, form, 1), F.lit("")) for form in forms]
+    if library is not None:
+        head = F.concat(library, F.lit(f".{phase}-PHAS.candidate.clusters"), library, F.lit("-"))
+        bare = [F.when(s.startswith(head) & (F.length(s) > F.length(head)), F.substring(s, F.length(head) + 1, F.length(s))), *bare]
+    return F.when(s.contains(":") & s.contains(".."), s).otherwise(F.trim(F.coalesce(*bare, s)))
 
 
 def cluster_parts(cluster: Column) -> tuple[Column, Column, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusloom.functions.loci import known
+from locusloom.functions.loci import bare_cluster_id, known
 
 
 def cluster_features(reads: DataFrame, cluster: str, phase: int) -> DataFrame:
@@ -55,3 +55,22 @@ def longest_empty_run(positions: DataFrame, cluster: str, phase: int) -> DataFra
     step = F.col("cycle") - F.lag("cycle").over(Window.partitionBy(cluster, "register").orderBy("cycle"))
     runs = at.withColumn("__empty", F.coalesce(step - 1, F.lit(0)))
     return runs.groupBy(cluster, "register").agg(F.count(F.lit(1)).alias("supported"), F.max("__empty").alias("longest_empty"))
+
+
+def scores_by_any_id(rows: DataFrame, scores: DataFrame, places: DataFrame, phase: int) -> DataFrame:
+    """``rows`` (``alib``, ``cID``, ``identifier``) with ``score`` and ``found_by``: ``id``, ``bare id``, ``place`` or null (score 0).
+
+    ``scores`` has ``cluster_id`` and ``phase_score``, ``places`` the ``place`` of each ``clusterID``. An id is looked up
+    as it is, then without the file name in front, and its identifier among the places of scored clusters at last, of
+    which the highest score counts.
+    """
+    plain = scores.select(F.trim("cluster_id").alias("__id"), F.col("phase_score").alias("__s")).groupBy("__id").agg(F.max("__s").alias("__s"))
+    at_place = scores.join(places, F.col("cluster_id") == F.col("clusterID")).groupBy("place").agg(F.max("phase_score").alias("__by_place"))
+    named = rows.withColumns({"__raw": F.trim("cID"), "__bare": bare_cluster_id(F.col("cID"), phase, F.col("alib"))})
+    out = (
+        named.join(plain.select(F.col("__id").alias("__raw"), F.col("__s").alias("__by_raw")), "__raw", "left")
+        .join(plain.select(F.col("__id").alias("__bare"), F.col("__s").alias("__by_bare")), "__bare", "left")
+        .join(at_place, F.col("identifier") == F.col("place"), "left")
+    )
+    found = F.when(F.col("__by_raw").isNotNull(), "id").when(F.col("__by_bare").isNotNull(), "bare id").when(F.col("__by_place").isNotNull(), "place")
+    return out.select("alib", "cID", "identifier", found.alias("found_by"), F.coalesce("__by_raw", "__by_bare", "__by_place", F.lit(0.0)).alias("score"))

@@ -7,7 +7,7 @@ cluster is cut in tiles of window starts that share the positions at their edge;
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -291,6 +291,12 @@ def alternative_candidates(trace: DataFrame, cluster: str, phase: int, cutoff: f
     return shifted.groupBy(cluster, "strand", "shift_nt").agg(F.count(F.lit(1)).alias("windows"), F.max("score").alias("best_score"), F.min("window_start").alias("min_start"), F.max("window_end").alias("max_end"))
 
 
+def top_alternatives(candidates: DataFrame, cluster: str, n: int = 6) -> DataFrame:
+    """The ``n`` best :func:`alternative_candidates` of each cluster with their ``rank``; of equal scores the smaller shift."""
+    line = Window.partitionBy(cluster).orderBy(F.desc("best_score"), "shift_nt")
+    return candidates.withColumn("rank", F.row_number().over(line)).where(F.col("rank") <= n)
+
+
 def peak_competitors(positions: DataFrame, scan: DataFrame, cluster: str, phase: int) -> DataFrame:
     """Windows that overlap the peak in another frame with at least 0.9 of its exact score, one row each.
 
@@ -331,3 +337,9 @@ def register_reads(positions: DataFrame, peaks: DataFrame, cluster: str, phase:
     rank = F.struct((F.col("off") == 0).cast("int").alias("exact"), "abun", (-F.col("off")).alias("left"))
     best = found.groupBy(cluster, "strand", "origin", "cycle", "expected").agg(F.max_by(F.struct("pos", "abun", "off"), rank).alias("b"))
     return best.select(cluster, "strand", "origin", "cycle", "expected", "b.pos", "b.abun", F.when(F.col("b.off") == 0, "core_exact").otherwise("core_offset").alias("register_class"))
+
+
+def register_tags(chosen: DataFrame, reads: DataFrame, cluster: str, phase: int) -> DataFrame:
+    """The tags of the phase length at the positions that :func:`register_reads` chose, summed by sequence."""
+    tags = reads.where((F.col("len") == phase) & F.col("tag_seq").isNotNull()).groupBy(cluster, "strand", "pos", "tag_seq").agg(F.sum(F.coalesce("abun", F.lit(0))).alias("abun"))
+    return chosen.drop("abun").join(tags, [cluster, "strand", "pos"]).select(cluster, "strand", "origin", "cycle", "pos", "register_class", "tag_seq", "abun")

@@ -56,6 +56,15 @@ def j6_feature_scores(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("identifier", "alib", "cID", F.round(F.coalesce("phase_score", F.lit(0.0)), 6).alias("score"))
 
 
+def j6_scores_by_any_id(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of the windows for cluster ids with a file name in front: by the id as it is, by the bare one, by the place of its locus, else 0."""
+    scores = cluster_scores(table(spark, d, "clusters_windows_to_score"), "cluster_id", "combined_window_p_value")
+    ids = table(spark, d, "phas_to_detect").where("clusterID is not null and identifier is not null").groupBy("clusterID").agg(F.min("identifier").alias("place"))
+    rows = _features(spark, d).select("alib", "cID", "identifier").distinct()
+    given = F.when(F.pmod(F.length("cID"), F.lit(2)) == 0, F.concat(F.col("alib"), F.lit(f".{PHASE}-PHAS.candidate.clusters"), F.col("alib"), F.lit("-"), F.col("cID"))).otherwise(F.col("cID"))
+    return FE.scores_by_any_id(rows.select("alib", given.alias("cID"), "identifier"), scores, ids, PHASE).select("alib", "cID", "identifier", "found_by", F.round("score", 6).alias("score"))
+
+
 def _calls(spark: SparkSession, d: str) -> DataFrame:
     rows = FE.best_rows(_features(spark, d), ["identifier", "alib"])
     label = CL.filtered_label(F.lit("PHAS"), score_cutoff(PHASE, SCORE), PEAK, COMPLEXITY)
@@ -187,7 +196,7 @@ def f13_plot_sources(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        a13_cluster_features, a14_phase_positions, w8_best_rows, w9_longest_empty_run, j4_identifiers, j6_feature_scores, f10_filtered_labels,
+        a13_cluster_features, a14_phase_positions, w8_best_rows, w9_longest_empty_run, j4_identifiers, j6_feature_scores, j6_scores_by_any_id, f10_filtered_labels,
         f11_evidence, j11_overrides, n13_mixture_labels, a16_mixture_means, a17_detections, a22_pooled, a25_scaled, k6_gff_lines,
         v1_report_cells, v1_report_grid, j12_plot_rows, v2_abundance_cells, v3_total_abundance_cells, v4_peak_cells, v5_abundance_track, f13_plot_sources,
     )
@@ -231,6 +240,11 @@ SELECT clusterID, register, count(*) AS supported, max(empty) AS longest_empty F
     "j4_identifiers": """WITH i AS (SELECT DISTINCT clusterID, identifier FROM phas_to_detect WHERE clusterID IS NOT NULL), w AS (SELECT cluster_id, count(*) AS n FROM clusters_windows_to_score WHERE cluster_id IS NOT NULL GROUP BY 1)
 SELECT identifier, CAST(sum(n) AS BIGINT) AS windows, count(DISTINCT cluster_id) AS clusters FROM w JOIN i ON cluster_id = clusterID GROUP BY 1""",
     "j6_feature_scores": f"WITH {_ROWS}, {_FISHER}, k AS (SELECT DISTINCT identifier, alib, cID FROM f) SELECT identifier, alib, cID, round(coalesce(score, 0), 6) AS score FROM k LEFT JOIN sc ON cID = cluster_id",
+    "j6_scores_by_any_id": f"""WITH {_ROWS}, {_FISHER}, i AS (SELECT clusterID, min(identifier) AS place FROM phas_to_detect WHERE clusterID IS NOT NULL AND identifier IS NOT NULL GROUP BY 1),
+pl AS (SELECT place, max(score) AS score FROM sc JOIN i ON cluster_id = clusterID GROUP BY 1), k AS (SELECT DISTINCT alib, cID, identifier FROM f),
+g AS (SELECT alib, identifier, cID AS bare, CASE WHEN length(cID) % 2 = 0 THEN alib || '.21-PHAS.candidate.clusters' || alib || '-' || cID ELSE cID END AS cID FROM k)
+SELECT alib, cID, g.identifier, CASE WHEN a.score IS NOT NULL THEN 'id' WHEN b.score IS NOT NULL THEN 'bare id' WHEN pl.score IS NOT NULL THEN 'place' END AS found_by, round(coalesce(a.score, b.score, pl.score, 0), 6) AS score
+FROM g LEFT JOIN sc a ON a.cluster_id = g.cID LEFT JOIN sc b ON b.cluster_id = g.bare LEFT JOIN pl ON pl.place = g.identifier""",
     "f10_filtered_labels": f"WITH {_CALLS} SELECT identifier, alib, cID, label FROM calls",
     "f11_evidence": f"WITH {_CALLS} SELECT identifier, alib, final_class, evidence_reason FROM calls",
     "j11_overrides": f"""WITH {_CALLS} SELECT identifier, alib, CASE WHEN Howell_origin_class = 'ambiguous_origin' AND pk >= 20 THEN 'PHAS-like' ELSE final_class END AS final_class,

@@ -97,7 +97,19 @@ def n12_alternative_candidates(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("best_score", F.round("best_score", 6))
 
 
-QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n11_peak_competitors, n12_trace_group_summaries, n12_alternative_candidates, n15_register_reads, n14_feature_table)}
+def t4_top_alternatives(spark: SparkSession, d: str) -> DataFrame:
+    """The six best overlapping alternatives of each cluster."""
+    rows = H.alternative_candidates(_saved_trace(spark, d), "clusterID", PHASE, CUTOFF).withColumn("best_score", F.round("best_score", 6))
+    return H.top_alternatives(rows, "clusterID").select("clusterID", "strand", "shift_nt", "best_score", "rank")
+
+
+def k7_register_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The phased tags of each cluster's peak: the rows of the table of phased small RNAs."""
+    rows = reads(spark, d).where("clusterID is not null and strand is not null")
+    return H.register_tags(n15_register_reads(spark, d), rows, "clusterID", PHASE)
+
+
+QUERIES = {f.__name__: f for f in (n7_strict_scan, n8_relaxed_scan, n9_peak_ambiguity, w6_trace, w7_trace_groups, n10_crowding, n11_peak_competitors, n12_trace_group_summaries, n12_alternative_candidates, n15_register_reads, t4_top_alternatives, k7_register_tags, n14_feature_table)}
 
 _BASE = f"""{READS}, pa AS (SELECT clusterID, strand, pos, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE len = 21 AND strand IS NOT NULL AND clusterID IS NOT NULL GROUP BY 1, 2, 3),
 sp AS (SELECT clusterID, min(pos) AS lo, max(pos) AS hi FROM reads WHERE clusterID IS NOT NULL GROUP BY 1),
@@ -137,6 +149,16 @@ pk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clusterID ORDER
 me AS (SELECT pk.clusterID, pk.strand, window_start AS p0, coalesce(w.score, 0) AS sup, w.frame AS fr FROM pk LEFT JOIN win w ON w.clusterID = pk.clusterID AND w.strand = pk.strand AND w.s = window_start),
 rv AS (SELECT me.*, w.s, w.score AS sc, w.frame AS f2 FROM me JOIN win w USING (clusterID, strand) WHERE me.sup > 0 AND w.s <> p0 AND w.s BETWEEN p0 - 209 AND p0 + 209 AND w.score >= 0.9 * me.sup)"""
 
+_REGISTER = f"""WITH {_PEAKS}, pl AS (SELECT clusterID, strand, origin, CAST(unnest(range(0, 10)) AS INT) AS cycle FROM pk),
+ex AS (SELECT *, origin + cycle * CASE strand WHEN 'w' THEN 21 ELSE -21 END AS expected FROM pl),
+fd AS (SELECT ex.*, pa.pos, pa.abun, pa.pos - expected AS o FROM ex JOIN pa ON pa.clusterID = ex.clusterID AND pa.strand = ex.strand AND pa.pos BETWEEN expected - 1 AND expected + 1)
+SELECT clusterID, strand, origin, cycle, expected, pos, abun, CASE o WHEN 0 THEN 'core_exact' ELSE 'core_offset' END AS register_class
+FROM (SELECT *, row_number() OVER (PARTITION BY clusterID, cycle ORDER BY o <> 0, abun DESC, o) AS k FROM fd) WHERE k = 1"""
+_ALTERNATIVES = f"""WITH {_PEAKS}, x AS (SELECT tr.*, (((CASE strand WHEN 'w' THEN window_start + register ELSE window_end - register END) - origin) % 21 + 21) % 21 AS m
+  FROM tr JOIN pk USING (clusterID, strand) WHERE anchor <> pa_ AND score >= 12.5 AND ((anchor - origin) % 21 + 21) % 21 NOT IN (0, 1, 20) AND window_start <= pe AND ps <= window_end)
+SELECT clusterID, strand, CASE WHEN m > 10.5 THEN m - 21 ELSE m END AS shift_nt, count(*) AS windows, round(max(score), 6) AS best_score, min(window_start) AS min_start, max(window_end) AS max_end
+FROM x WHERE m <> 0 GROUP BY 1, 2, 3"""
+
 SQL = {
     "n9_peak_ambiguity": f"""WITH {_RIVALS('DESC')},
 al AS (SELECT me.clusterID, count(*) FILTER (WHERE e.score >= 0.9 * sup) - 1 AS alt FROM me JOIN ex e ON e.clusterID = me.clusterID AND e.strand = me.strand AND e.s = p0 WHERE sup > 0 GROUP BY 1),
@@ -168,13 +190,10 @@ cnt AS (SELECT clusterID, strand, gs, ge, ga, gsc, go_, count(*) FILTER (WHERE m
 SELECT cnt.clusterID, cnt.strand, gs AS group_start, ge AS group_end, ga AS group_anchor, round(gsc, 6) AS group_score, go_ AS group_origin, exact_rows, offset_rows, other_rows,
   CASE WHEN ((go_ - origin) % 21 + 21) % 21 = 0 THEN NULL WHEN ((go_ - origin) % 21 + 21) % 21 > 10.5 THEN ((go_ - origin) % 21 + 21) % 21 - 21 ELSE ((go_ - origin) % 21 + 21) % 21 END AS shift_nt, gs <= pe AND ps <= ge AS overlaps_peak
 FROM cnt JOIN pk USING (clusterID)""",
-    "n12_alternative_candidates": f"""WITH {_PEAKS}, x AS (SELECT tr.*, (((CASE strand WHEN 'w' THEN window_start + register ELSE window_end - register END) - origin) % 21 + 21) % 21 AS m
-  FROM tr JOIN pk USING (clusterID, strand) WHERE anchor <> pa_ AND score >= 12.5 AND ((anchor - origin) % 21 + 21) % 21 NOT IN (0, 1, 20) AND window_start <= pe AND ps <= window_end)
-SELECT clusterID, strand, CASE WHEN m > 10.5 THEN m - 21 ELSE m END AS shift_nt, count(*) AS windows, round(max(score), 6) AS best_score, min(window_start) AS min_start, max(window_end) AS max_end
-FROM x WHERE m <> 0 GROUP BY 1, 2, 3""",
-    "n15_register_reads": f"""WITH {_PEAKS}, pl AS (SELECT clusterID, strand, origin, CAST(unnest(range(0, 10)) AS INT) AS cycle FROM pk),
-ex AS (SELECT *, origin + cycle * CASE strand WHEN 'w' THEN 21 ELSE -21 END AS expected FROM pl),
-fd AS (SELECT ex.*, pa.pos, pa.abun, pa.pos - expected AS o FROM ex JOIN pa ON pa.clusterID = ex.clusterID AND pa.strand = ex.strand AND pa.pos BETWEEN expected - 1 AND expected + 1)
-SELECT clusterID, strand, origin, cycle, expected, pos, abun, CASE o WHEN 0 THEN 'core_exact' ELSE 'core_offset' END AS register_class
-FROM (SELECT *, row_number() OVER (PARTITION BY clusterID, cycle ORDER BY o <> 0, abun DESC, o) AS k FROM fd) WHERE k = 1""",
+    "n12_alternative_candidates": _ALTERNATIVES,
+    "n15_register_reads": _REGISTER,
+    "t4_top_alternatives": f"SELECT clusterID, strand, shift_nt, best_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY clusterID ORDER BY best_score DESC, shift_nt) AS rank FROM ({_ALTERNATIVES}) AS c) WHERE rank <= 6",
+    "k7_register_tags": f"""SELECT c.clusterID, c.strand, c.origin, c.cycle, c.pos, c.register_class, t.tag_seq, t.abun FROM ({_REGISTER}) AS c
+JOIN (WITH {READS} SELECT clusterID, strand, pos, tag_seq, CAST(sum(coalesce(abun, 0)) AS BIGINT) AS abun FROM reads WHERE len = 21 AND tag_seq IS NOT NULL AND clusterID IS NOT NULL AND strand IS NOT NULL GROUP BY 1, 2, 3, 4) AS t
+  ON t.clusterID = c.clusterID AND t.strand = c.strand AND t.pos = c.pos""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusloom.operators.clusters import gap_clusters
 from locusloom.session import table
 
 
@@ -15,11 +16,20 @@ def x1_hourly_loads(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "alib", "n", "abun")
 
 
+SESSION_GAP = 30 * 60 * 1_000_000  # microseconds
+DAY = 24 * 60 * 60 * 1_000_000
+
+
 def x2_event_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions of each user's events, apart by more than half an hour: the time form of gap clusters."""
+    """Sessions of each user's events, apart by more than half an hour: the time form of gap clusters.
+
+    Sessions are found within the days of a user and stitched over midnight, so a user with most events is many keys.
+    """
     rows = table(spark, d, "events").where("user_id is not null and ts is not null")
-    out = rows.groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("value"))
-    return out.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), "n", "value")
+    at = rows.groupBy("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("pos")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+    runs = gap_clusters(at, ["user_id"], SESSION_GAP - 1, DAY)
+    out = runs.groupBy("user_id", "cluster_no").agg(F.min("pos").alias("first"), F.sum("n").alias("n"), F.round(F.sum("value"), 6).alias("value"))
+    return out.select("user_id", F.timestamp_micros("first").cast("timestamp_ntz").alias("session_start"), "n", "value")
 
 
 QUERIES = {f.__name__: f for f in (x1_hourly_loads, x2_event_sessions)}

@@ -16,3 +16,9 @@ def windowed_counts(reads: DataFrame, time: str, keys: list[str], window: str =
 def first_loads(reads: DataFrame, time: str, keys: list[str], late: str = "1 hour") -> DataFrame:
     """The stream without rows that repeat the keys of an earlier one within the watermark."""
     return reads.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+
+
+def session_counts(reads: DataFrame, time: str, keys: list[str], gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
+    """Rows and abundance of each key by session: rows at most ``gap`` apart. A session comes out when no late row can join it."""
+    counted = reads.withWatermark(time, late).groupBy(*keys, F.session_window(time, gap).alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("abun").alias("abun"))
+    return counted.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "n", "abun")

@@ -115,7 +115,13 @@ def test_small_functions(spark):
     assert [value(L.register_relation(F.lit(p), F.lit(100), 21)) for p in (121, 122, 99, 110)] == ["exact", "offset", "offset", "other"]
     assert value(L.file_stem(F.lit("/x/lib.one.fastq.gz"))) == "lib.one"
     assert value(L.per_ten_million(F.lit(0), F.lit(10))) == 1 and value(L.per_ten_million(F.lit(5.0), F.lit(2e7))) == 2
-    assert value(L.bare_cluster_id(F.lit("lib.21-PHAS.candidate.clusters_x"), 21)) == "x"
+    ids = {
+        "ALL_LIBS.21-PHAS.candidate.clustersALL_LIBS-10_120402_10": "10_120402_10", "s.S3.1_Pre_1.21-PHAS.candidate.clusters1006_18": "1006_18", " 1:5..9 ": "1:5..9", " plain-1_2_1": "plain-1_2_1",
+        "l.PHAS.candidate.clustersl-7_1": "7_1", "l.m.PHAS.candidate.clusters7_1": "7_1", "l.24-PHAS.candidate.clustersl-7_1": "l.24-PHAS.candidate.clustersl-7_1",
+    }
+    for given, want in ids.items():
+        assert value(L.bare_cluster_id(F.lit(given), 21)) == want, given
+    assert value(L.bare_cluster_id(F.lit("a-b.21-PHAS.candidate.clustersa-b-7_1_7"), 21, F.lit("a-b"))) == "7_1_7"
     assert [value(c) for c in L.cluster_parts(F.lit("a_b-scaf_016_12_scaf_016"))] == ["a_b", "scaf_016", 12]
     assert [value(c) for c in L.locus_parts(F.lit("scaf:1:3..9"))] == ["scaf:1", 3, 9] and value(L.locus_parts(F.lit("x"))[1]) is None
     assert value(L.howell_score(F.lit(10.0), F.lit(10.0), F.lit(3))) == 0.0

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from locusloom.operators.intervals import interval_periods
-from locusloom.streaming.counts import windowed_counts
+from locusloom.streaming.counts import first_loads, session_counts, windowed_counts
 from locusloom.streaming.intervals import current_periods, streaming_periods
 
 
@@ -40,3 +40,17 @@ def test_windowed_counts(spark, tmp_path):
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     out = run(windowed_counts(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "t", ["alib"]), "counts", "complete")
     assert sorted((r.n, r.abun) for r in out) == [(1, 1), (2, 5)]
+
+
+def test_sessions_and_late_rows(spark, tmp_path):
+    stamped = lambda rows: spark.createDataFrame(rows, "t string, alib string, abun long").select(F.to_timestamp("t").alias("t"), "alib", "abun")
+    first = [("2025-01-01 00:00:00", "l", 1), ("2025-01-01 00:20:00", "l", 2), ("2025-01-01 00:51:00", "l", 4), ("2025-01-01 00:10:00", "m", 8), ("2025-01-01 00:20:00", "l", 2)]
+    second = [("2025-01-01 06:00:00", "l", 16)]
+    third = [("2025-01-01 00:05:00", "l", 32), ("2025-01-01 09:00:00", "l", 64)]  # the first one is too late
+    for i, rows in enumerate((first, second, third)):
+        stamped(rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("t timestamp, alib string, abun long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = run(session_counts(stream(), "t", ["alib"]), "sessions", "append")
+    assert sorted((r.alib, r.n, r.abun) for r in out) == [("l", 1, 4), ("l", 1, 16), ("l", 3, 5), ("m", 1, 8)]
+    once = run(first_loads(stream(), "t", ["alib", "abun"]), "once", "append")
+    assert sorted(r.abun for r in once) == [1, 2, 4, 8, 16, 64]
