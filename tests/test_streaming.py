@@ -47,10 +47,15 @@ def test_sessions_and_late_rows(spark, tmp_path):
     first = [("2025-01-01 00:00:00", "l", 1), ("2025-01-01 00:20:00", "l", 2), ("2025-01-01 00:51:00", "l", 4), ("2025-01-01 00:10:00", "m", 8), ("2025-01-01 00:20:00", "l", 2)]
     second = [("2025-01-01 06:00:00", "l", 16)]
     third = [("2025-01-01 00:05:00", "l", 32), ("2025-01-01 09:00:00", "l", 64)]  # the first one is too late
-    for i, rows in enumerate((first, second, third)):
+    stream = lambda: spark.readStream.schema("t timestamp, alib string, abun long").parquet(str(tmp_path / "in"))
+    stamped(first).coalesce(1).write.parquet(str(tmp_path / "in"))
+    started = {n: df.writeStream.outputMode("append").format("memory").queryName(n).start() for n, df in (("sessions", session_counts(stream(), "t", ["alib"])), ("once", first_loads(stream(), "t", ["alib", "abun"])))}
+    for rows in (second, third):
+        for query in started.values():
+            query.processAllAvailable()
         stamped(rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = lambda: spark.readStream.schema("t timestamp, alib string, abun long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    out = run(session_counts(stream(), "t", ["alib"]), "sessions", "append")
-    assert sorted((r.alib, r.n, r.abun) for r in out) == [("l", 1, 4), ("l", 1, 16), ("l", 3, 5), ("m", 1, 8)]
-    once = run(first_loads(stream(), "t", ["alib", "abun"]), "once", "append")
-    assert sorted(r.abun for r in once) == [1, 2, 4, 8, 16, 64]
+    for query in started.values():
+        query.processAllAvailable()
+        query.stop()
+    assert sorted((r.alib, r.n, r.abun) for r in spark.table("sessions").collect()) == [("l", 1, 4), ("l", 1, 16), ("l", 3, 5), ("m", 1, 8)]
+    assert sorted(r.abun for r in spark.table("once").collect()) == [1, 2, 4, 8, 16, 64]
