@@ -8,10 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: The spellings of the two strands.
+WATSON, CRICK = ("w", "+", "watson", "1", "true"), ("c", "-", "crick", "0", "false")
+
+
 def strand_code(strand: Column) -> Column:
     """``w`` or ``c`` for the spellings of a strand, else null."""
     s = F.lower(F.trim(strand))
-    return F.when(s.isin("w", "+", "watson", "1", "true"), "w").when(s.isin("c", "-", "crick", "0", "false"), "c")
+    return F.when(s.isin(*WATSON), "w").when(s.isin(*CRICK), "c")
 
 
 def locus_id(chromosome: Column, start: Column, end: Column) -> Column:

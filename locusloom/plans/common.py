@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusloom.functions.loci import strand_code
+from locusloom.functions.loci import CRICK, WATSON, strand_code
 from locusloom.functions.sequences import molecule
 from locusloom.session import table
 
@@ -26,7 +26,7 @@ def reads(spark: SparkSession, d: str) -> DataFrame:
 MOLECULE = "nullif(replace(upper(regexp_replace(tag_seq, '^\\s+|\\s+$', '', 'g')), 'U', 'T'), '')"
 READS = f"""reads AS (
   SELECT alib, clusterID, clean_id AS chromosome, ord,
-    CASE WHEN lower(trim(strand)) IN ('w', '+', 'watson', '1', 'true') THEN 'w' WHEN lower(trim(strand)) IN ('c', '-', 'crick', '0', 'false') THEN 'c' END AS strand,
+    CASE WHEN lower(trim(strand)) IN {WATSON} THEN 'w' WHEN lower(trim(strand)) IN {CRICK} THEN 'c' END AS strand,
     pos, len, hits, abun, tag_id, {MOLECULE} AS tag_seq, identifier,
     pval_h_f, N_f, X_f, pval_r_f, pval_corr_f, pval_h_r, N_r, X_r, pval_r_r, pval_corr_r
   FROM phas_to_detect JOIN contigs ON chromosome = old_id WHERE alib IS NOT NULL)"""

@@ -206,6 +206,7 @@ _N = lambda c: f"CASE WHEN NOT isnan({c}) THEN {c} END"
 _ROWS = "f AS (SELECT DISTINCT * EXCLUDE (loaded_at) FROM features WHERE identifier IS NOT NULL AND alib IS NOT NULL AND cID IS NOT NULL)"
 _RANK = f"""{_N('Howell_exact_support_score')} DESC NULLS LAST, {_N('Peak_Howell_score')} DESC NULLS LAST, {_N('phase_score')} DESC NULLS LAST, cID"""
 _BEST = f"""{_ROWS}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY identifier, alib ORDER BY {_RANK}) AS r FROM f) WHERE r = 1)"""
+# fixed values: the thresholds of the filters and of the evidence rules, as operators/classify.py has them
 _CALLS = f"""{_BEST},
 lab AS (SELECT *, CASE WHEN coalesce({_N('phase_score')} < 50 OR {_N('Peak_Howell_score')} < 12.5, false) OR coalesce({_N('complexity')} > 0.3, false) THEN 'non-PHAS' ELSE 'PHAS' END AS label,
   {_N('Howell_exact_support_score')} AS ex, {_N('Peak_Howell_score')} AS pk, {_N('Peak_Howell_score_strict')} AS st, coalesce({_N('Howell_crowding_window_count')}, 0) AS cr,
