@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from locusloom.llm.words import HAN, NUMBER, OTHER, REPLACED, Texts, tables
+from locusloom.llm.words import HAN, NUMBER, OTHER, REPLACED, Texts, slices, tables
 
 #: Marks that end a sentence, marks that may close after them, and the ellipsis.
 TERMINAL, CLOSERS, ELLIPSIS = ".?!।。！？؟", "”\"»“’)）』」", "…"
@@ -109,7 +109,7 @@ def end_measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     One row for each row of the batch: its other columns and ``END_COLUMNS``. And one row for each word of all its texts,
     with nulls before: ``USE_COLUMNS``, the counts of :func:`word_uses`. So each text is read once for both.
     """
-    for batch in batches:
+    for batch in slices(batches, [-2, -1]):
         sides = [Texts(batch.column(i)) for i in (-2, -1)]
         text, other = map(Ends, sides)
         there = other.at >= 0

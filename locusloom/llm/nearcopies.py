@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusloom.llm.endings import Ends
-from locusloom.llm.words import Texts
+from locusloom.llm.words import Texts, slices
 from locusloom.session import saved
 
 SHINGLE, BANDS, ROWS, SIMILAR = 5, 6, 3, 0.8
@@ -80,7 +80,7 @@ MEMBER = "bucket long, key binary, level int, n int, candidate boolean, partner
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each band of each prefix of a text. Unfinished texts ask with the longest prefix of their whole words."""
-    for batch in batches:
+    for batch in slices(batches, [1]):
         texts = Texts(batch.column(1))
         ends = Ends(texts)
         asks = ~ends.closed & (ends.at >= 0)
@@ -162,7 +162,7 @@ def continues(short: Texts, ends: Ends, i: int, long: Texts, j: int) -> bool:
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, [1, 2]):
         short, long = Texts(batch.column(1)), Texts(batch.column(2))
         ends = Ends(short)
         hit = [continues(short, ends, i, long, i) for i in range(batch.num_rows)]
@@ -176,7 +176,7 @@ def _crowd_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a candidate's distinct shingles one stands in the other text, which is no more than a quarter longer up to there.
     ``n`` is the number of words behind the shingle, the most of a partner and the least of a candidate.
     """
-    for batch in batches:
+    for batch in slices(batches, [3]):
         texts = Texts(batch.column(3))
         rows: dict[str, list] = {name: [] for name in ("bucket", "of", "level", "n", "candidate")}
         for i, (groups, levels, asks) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 4, 2)))):

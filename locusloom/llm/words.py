@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 OTHER, LETTER, HAN, NUMBER = range(4)
 #: The ranges of the script Han, of which every character is a word.
@@ -41,6 +43,20 @@ def tables() -> dict[str, np.ndarray]:
     return {"kind": kind, "lower": lower, "white": white, "capital": capital, "small": small, "idle": idle | white}
 
 
+#: Bytes of text whose code points are held as arrays at once, unless one text alone has more.
+AT_ONCE = 1 << 22
+
+
+def slices(batches: Iterator[pa.RecordBatch], columns: Sequence[int], most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches, divided so that the texts of their ``columns`` have about ``most`` bytes together; every row comes once."""
+    for batch in batches:
+        sizes = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+        part = np.cumsum(sizes) // most
+        starts = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else np.zeros(0, np.int64)
+        for a, b in zip(starts, np.append(starts[1:], batch.num_rows)):
+            yield batch.slice(a, b - a)
+
+
 class Texts:
     """The texts of a column, nulls as empty ones, one behind the other with a break (code point 0) behind each.
 

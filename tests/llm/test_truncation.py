@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from locusloom.llm.endings import END_COLUMNS, USE_COLUMNS, Ends, end_measures
 from locusloom.llm.nearcopies import CROWD, cut_copies, ends_early, prefix_bands, run_hashes
 from locusloom.llm.truncation import truncated_texts
-from locusloom.llm.words import Texts
+from locusloom.llm.words import Texts, slices
 
 DATA = Path(os.environ.get("LOCUSLOOM_TEST_DATA", "/root/testdata/sf0.001"))
 WORDS = "the river bends near an old stone mill where two brothers once ground barley and rye for every village along the northern road until one winter the wheel froze and nobody came to mend it so the water found another way".split()
@@ -30,6 +30,15 @@ def test_words():
     assert again.hash[1] == t.hash[0] and again.hash[2] != t.hash[1]  # an initial is another word
 
 
+def test_slices_keep_every_row():
+    texts = ["a" * n for n in (5, 0, 90, 3, 200, 1)] + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["i", "t"])
+    parts = list(slices(iter([batch, batch.slice(0, 0)]), [1], most=64))
+    assert [i for p in parts for i in p.column("i").to_pylist()] == list(range(8)) and len(parts) > 2
+    assert all(sum(len(t or "") for t in p.column("t").to_pylist()[1:]) <= 64 for p in parts)
+    assert pa.concat_tables(pa.Table.from_batches([p]) for p in parts).column("t").to_pylist() == texts
+
+
 def test_ends():
     cases = {
         "All is well.": "c", "All is well": "", "It was K.": "", "He said “so.”": "c", "He said “so": "o", "Wait...": "e", "Wait… ": "e", "So (see": "o", "So (see) ": "", "« a »": "",
